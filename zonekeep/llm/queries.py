@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonekeep.llm import bpe, mixing
+from zonekeep.llm import bpe, chat, html_text, mixing, topk
 
 
 def vocabulary() -> str:
@@ -27,9 +28,28 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, sf_dir, "documents"), vocabulary(), ids=False)
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", topk.whole_numbers(F.col("embedding")).alias("v"))
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.conversation_digests(chat.format_conversations(turns.unionByName(extra)))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_bpe": op2_bpe,
+    "op3_top_k": op3_top_k,
+    "op5_chat_format": op5_chat_format,
+    "op6_html_text": op6_html_text,
 }
 
 ORACLES: dict[str, str] = {}
