@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonekeep.llm import bpe, chat, html_text, mixing, topk
+from zonekeep.llm import bpe, chat, fingerprints, html_text, mixing, topk
 
 
 def vocabulary() -> str:
@@ -44,12 +44,17 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_bpe": op2_bpe,
     "op3_top_k": op3_top_k,
     "op5_chat_format": op5_chat_format,
     "op6_html_text": op6_html_text,
+    "op9_imatch": op9_imatch,
 }
 
 ORACLES: dict[str, str] = {}
