@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonekeep.llm import bpe, chat, fingerprints, html_text, mixing, topk
+from zonekeep.llm import bpe, chat, fingerprints, html_text, lm, mixing, topk
 
 
 def vocabulary() -> str:
@@ -48,6 +48,10 @@ def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_bpe": op2_bpe,
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat_format": op5_chat_format,
     "op6_html_text": op6_html_text,
     "op9_imatch": op9_imatch,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLES: dict[str, str] = {}
