@@ -199,7 +199,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, block_least: int =
     n, n_queries = rows.agg(F.count("*"), F.count_if("query")).first()
     size = max(block_least, min(block_most, n // 96))
     blocks, groups = max(1, -(-n // size)), max(1, -(-n_queries // group))
-    data = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)))
+    again = rows.sparkSession.read.schema(rows.schema).parquet(rows._staged_at)  # a scan of its own: both sides meet in one plan
+    data = again.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)))
     queries = rows.filter("query").withColumn("grp", F.pmod(F.xxhash64("v", "vec_id", F.lit(1)), F.lit(groups)))
     pilots = -(-blocks // PILOT)
 
