@@ -38,10 +38,12 @@ from zonekeep.llm.words import LOWER_ASCII, batches, text_buffer, word_hashes, w
 from zonekeep.store import discard, stage
 
 #: Words with a class of their own, dimensions, noise words of a batch, tokens of a batch, rounds and first step size.
-SHORTLIST, DIMENSIONS, NOISE, BATCH, ROUNDS, STEP = 960, 16, 48, 4096, 2, 0.08
+SHORTLIST, DIMENSIONS, NOISE, BATCH, ROUNDS, STEP = 960, 16, 96, 2048, 2, 0.1
 #: Bytes of text of a block, and terms of a hashed range.
 BLOCK_BYTES, RANGE_TERMS = 8 << 20, 500_000
 BINS = 48
+#: Start of the sums of squares of AdaGrad.
+EPS = 1e-6
 END_HASH = np.uint64(0xE4D0F7E27)
 _U = np.uint64
 
@@ -216,9 +218,16 @@ class LogBilinear:
         return self
 
     def train(self, target: np.ndarray, near: np.ndarray, far: np.ndarray, log_noise: np.ndarray, step: float, rng: np.random.Generator, batch: int = BATCH, noise: int = NOISE) -> None:
-        """One pass of noise-contrastive estimation; each batch shares its noise words."""
+        """One pass of noise-contrastive estimation with step sizes by AdaGrad; each batch shares its noise words."""
         cumulative = np.cumsum(np.exp(log_noise.astype(np.float64)))
         shift = (log_noise + math.log(noise)).astype(np.float32)
+        squares = {k: np.full(getattr(self, k).shape, EPS, np.float32) for k in self.NAMES}
+        columns = np.arange(self.dim)
+
+        def gather(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+            flat = (rows[:, None] * self.dim + columns).ravel()
+            return np.bincount(flat, weights=values.ravel(), minlength=n * self.dim).reshape(n, self.dim).astype(np.float32)
+
         for a in range(0, len(target), batch):
             w, n1, n2 = target[a : a + batch], near[a : a + batch], far[a : a + batch]
             other = np.minimum(np.searchsorted(cumulative, rng.random(noise) * cumulative[-1]), self.n - 1)
@@ -231,17 +240,18 @@ class LogBilinear:
             up = 1.0 / (1.0 + np.exp(np.clip(good, -30, 30)))
             down = -1.0 / (1.0 + np.exp(np.clip(-bad, -30, 30)))
             d_guess = up[:, None] * qw + down @ qo
-            rate = step / len(w) * 64
-            gain_q = np.zeros_like(self.q)
-            np.add.at(gain_q, w, up[:, None] * guess)
-            np.add.at(gain_q, other, down.T @ guess)
-            gain_b = np.bincount(w, weights=up, minlength=self.n) + np.bincount(other, weights=down.sum(axis=0), minlength=self.n)
-            gain_r = np.zeros_like(self.r)
-            np.add.at(gain_r, n1, d_guess @ self.c1.T)
-            np.add.at(gain_r, n2, d_guess @ self.c2.T)
-            d1, d2 = r1.T @ d_guess, r2.T @ d_guess
-            for name, gain in (("q", gain_q), ("b", gain_b.astype(np.float32)), ("r", gain_r), ("c1", d1 / 16), ("c2", d2 / 16)):
-                setattr(self, name, getattr(self, name) + np.clip(rate * gain, -0.25, 0.25).astype(np.float32))
+            gains = {
+                "q": gather(np.concatenate([w, other]), np.concatenate([up[:, None] * guess, down.T @ guess]), self.n),
+                "b": (np.bincount(w, weights=up, minlength=self.n) + np.bincount(other, weights=down.sum(axis=0), minlength=self.n)).astype(np.float32),
+                "r": gather(np.concatenate([n1, n2]), np.concatenate([d_guess @ self.c1.T, d_guess @ self.c2.T]), self.n + 1),
+                "c1": r1.T @ d_guess,
+                "c2": r2.T @ d_guess,
+            }
+            for name, gain in gains.items():
+                gain = gain / len(w)
+                squares[name] += gain * gain
+                rate = step if name in ("q", "r", "b") else step / 4
+                setattr(self, name, getattr(self, name) + rate * gain / np.sqrt(squares[name]))
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """log10 products of each context position with each class (bias in the first), and log10 normalisers."""
