@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonekeep.llm import bpe, chat, fingerprints, html_text, lm, mixing, topk
+from zonekeep.llm import bpe, chat, dedup, fingerprints, html_text, lm, mixing, topk
 
 
 def vocabulary() -> str:
@@ -44,6 +44,10 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_top_k": op3_top_k,
     "op5_chat_format": op5_chat_format,
     "op6_html_text": op6_html_text,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_imatch": op9_imatch,
     "op10_lm_score": op10_lm_score,
 }
