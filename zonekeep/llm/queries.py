@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonekeep.llm import bpe, chat, dedup, fingerprints, html_text, lm, mixing, topk
+from zonekeep.llm import bpe, chat, dedup, fingerprints, html_text, lm, mixing, quality, topk
 
 
 def vocabulary() -> str:
@@ -48,6 +48,11 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit_on(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat_format": op5_chat_format,
     "op6_html_text": op6_html_text,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_quality": op8_quality,
     "op9_imatch": op9_imatch,
     "op10_lm_score": op10_lm_score,
 }
