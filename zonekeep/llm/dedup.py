@@ -220,6 +220,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     return classed.join(names, "root").select("doc_id", "row_key", "root", "class_id")
 
 
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` with one row of each class of near duplicates: that of the smallest doc_id, then of the smallest row_key."""
+    classes = near_duplicates(docs, **options)
+    stay = classes.groupBy("root").agg(F.min(F.struct("doc_id", "row_key")).alias("first")).select(F.col("first.row_key").alias("_row_key"))
+    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text")).join(stay, "_row_key", "left_semi")
+    # rows that repeat the row that stays have its key
+    return keyed.groupBy("_row_key").agg(*[F.first(c).alias(c) for c in docs.columns]).select(*docs.columns)
+
+
 def _rescan(staged: DataFrame) -> DataFrame:
     """A scan of its own of a staged table, for plans in which it meets itself."""
     out = staged.sparkSession.read.schema(staged.schema).parquet(staged._staged_at)

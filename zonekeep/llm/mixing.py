@@ -168,3 +168,24 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), seed: i
     have = placed.withColumn("spot", F.when(F.col("size") > 0, F.col("at")))
     out = have.join(taken.withColumnRenamed("at", "spot"), ["source_no", "spot"], "left").join(goals, "source_no")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
+
+
+def repeat_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix as rows: each document of ``docs`` as often as the mix takes it, to the nearest whole number.
+
+    A document of which the mix takes less than half goes; one without words has nothing to take and stays once.
+    """
+    names = docs.columns
+    key = F.xxhash64("doc_id", "text")
+    keyed = docs.select(key.alias("doc_id"), "source", "text")
+    taken = mix_sources(keyed, **options)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))).cast("int")
+    # rows with the same key repeat each other: together they stay as often as all of them are taken
+    copies = taken.groupBy(F.col("doc_id").alias("_key")).agg(F.sum(times).alias("_all"), F.count("*").alias("_rows"))
+    joined = docs.withColumn("_key", key).join(copies, "_key")
+    share = F.col("_all").cast("double") / F.col("_rows")
+    whole = F.floor(share).cast("int")
+    # what is left over goes to some of the repeats by their place, which is the same for equal rows
+    extra = F.pmod(F.xxhash64("_key", F.spark_partition_id(), F.monotonically_increasing_id()), F.col("_rows")) < F.col("_all") - whole * F.col("_rows")
+    count = whole + F.when((F.col("_rows") > 1) & extra, 1).otherwise(0)
+    return joined.withColumn("_n", count).filter("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*names)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonekeep.llm import bpe, chat, dedup, fingerprints, html_text, lm, mixing, quality, topk
+from zonekeep.llm import bpe, chat, dedup, fingerprints, html_text, lm, mixing, quality, secrets, topk
 
 
 def vocabulary() -> str:
@@ -33,6 +33,10 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(_table(spark, sf_dir, "documents"), secrets.train(secrets.labelled_findings()))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_bpe": op2_bpe,
     "op3_top_k": op3_top_k,
+    "op4_secrets": op4_secrets,
     "op5_chat_format": op5_chat_format,
     "op6_html_text": op6_html_text,
     "op7_near_duplicates": op7_near_duplicates,
