@@ -40,7 +40,7 @@ from zonekeep.store import discard, stage
 #: Words with a class of their own, dimensions, noise words of a batch, tokens of a batch, rounds and first step size.
 SHORTLIST, DIMENSIONS, NOISE, BATCH, ROUNDS, STEP = 960, 16, 96, 2048, 2, 0.1
 #: Bytes of text of a block, and terms of a hashed range.
-BLOCK_BYTES, RANGE_TERMS = 8 << 20, 500_000
+BLOCK_BYTES, RANGE_TERMS = 2 << 20, 500_000
 BINS = 48
 #: Start of the sums of squares of AdaGrad.
 EPS = 1e-6
