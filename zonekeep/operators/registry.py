@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonekeep.functions.hostname import RO_RULES, HostRules, full_host
+from zonekeep.functions.hostname import RO_RULES, HostRules, add_host
 from zonekeep.sources.catalog import public_sources
 
 
 def normalise(observations: DataFrame, rules: HostRules = RO_RULES) -> DataFrame:
     """Adds host, domain, unicode_host, unicode_domain (null: rejected) to raw observations; what is not offered is not parsed."""
-    found = full_host(F.when(F.col("offered"), F.col("raw")), rules)
-    return observations.withColumn("n", found).select("*", "n.host", "n.domain", "n.unicode_host", "n.unicode_domain").drop("n")
+    found = add_host(observations, F.when(F.col("offered"), F.col("raw")), rules)
+    return found.select("*", "n.host", "n.domain", "n.unicode_host", "n.unicode_domain").drop("n")
 
 
 def run_counters(normalised: DataFrame, known_domains: DataFrame, known_hosts: DataFrame) -> DataFrame:

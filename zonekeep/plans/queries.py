@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonekeep.functions import scalars
-from zonekeep.functions.hostname import HostRules, full_host, native_host
+from zonekeep.functions.hostname import HostRules, add_host, add_native_host
 from zonekeep.operators import dns, quality, registry
 from zonekeep.sources import catalog, lists
 from zonekeep.streaming import ingest
@@ -47,7 +47,7 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 @_query(f"SELECT page_id, h AS host, {_LAST3.format(h='h')} AS domain FROM (SELECT page_id, {_URL_HOST} AS h FROM pages)")
 def normalize_url_host(spark, d):
-    rows = _t(spark, d, "pages").select("page_id", native_host(F.col("url"), PAGE_RULES).alias("n"))
+    rows = add_native_host(_t(spark, d, "pages").select("page_id", "url"), F.col("url"), PAGE_RULES)
     return rows.select("page_id", "n.host", "n.domain")
 
 
@@ -65,7 +65,7 @@ def registrable_domain(spark, d):
 )
 def email_domain(spark, d):
     found = _t(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._-]+@[A-Za-z0-9.-]+"), F.lit(0))).alias("a"))
-    return found.select("doc_id", native_host(F.col("a"), PAGE_RULES).alias("n")).filter("n is not null").select("doc_id", "n.host", "n.domain")
+    return add_native_host(found, F.col("a"), PAGE_RULES).filter("n is not null").select("doc_id", "n.host", "n.domain")
 
 
 @_query(f"SELECT page_id, array_to_string(list_reverse(string_split(h, '.')), '.') AS reversed FROM (SELECT page_id, {_URL_HOST} AS h FROM pages)")
@@ -89,7 +89,7 @@ def normalize_reject_counts(spark, d):
     return registry.run_counters(registry.normalise(seen, PAGE_RULES), empty, empty).select("rows_read", "hostnames_accepted", "rejected")
 
 
-@_query("SELECT c_custkey, try_cast(trim(replace(replace(c_name, 'Customer#', ' 1,'), 'x', '')) .replace(',', '') AS BIGINT) AS rank, try_cast(c_name AS BIGINT) AS bad FROM customer")
+@_query("SELECT c_custkey, try_cast(trim(replace(replace(c_name, 'Customer#', ' 1,'), ',', '')) AS BIGINT) AS rank, try_cast(c_name AS BIGINT) AS bad FROM customer")
 def parse_rank(spark, d):
     rows = _t(spark, d, "customer")
     return rows.select("c_custkey", scalars.parse_count(F.replace("c_name", F.lit("Customer#"), F.lit(" 1,"))).alias("rank"), scalars.parse_count(F.col("c_name")).alias("bad"))
@@ -99,7 +99,7 @@ def parse_rank(spark, d):
 def idn_unicode_hosts(spark, d):
     """Words that are not ASCII as names: IDNA is beyond SQL; unit vectors hold it."""
     words = _t(spark, d, "documents").select(F.explode(F.split("text", r"\s+")).alias("w")).filter(F.octet_length("w") > F.length("w")).distinct()
-    return words.select("w", full_host(F.concat("w", F.lit(".ro"))).alias("n")).select("w", "n.host", "n.domain", "n.unicode_host", "n.unicode_domain")
+    return add_host(words, F.concat("w", F.lit(".ro"))).select("w", "n.host", "n.domain", "n.unicode_host", "n.unicode_domain")
 
 
 @_query(f"SELECT page_id, h AS raw, true AS offered FROM (SELECT page_id, {_URL_HOST} AS h FROM pages) WHERE h LIKE '%.example.net'")
@@ -129,7 +129,7 @@ def scan_rank_csv(spark, d):
     f"""SELECT page_id, unnest([url, h, trim(' x@' || h)]) AS raw, unnest(['website', 'website', 'email']) AS tag FROM (SELECT page_id, url, {_URL_HOST} AS h FROM pages)"""
 )
 def explode_tags(spark, d):
-    rows = _t(spark, d, "pages").select("page_id", "url", native_host(F.col("url"), PAGE_RULES)["host"].alias("h"))
+    rows = add_native_host(_t(spark, d, "pages"), F.col("url"), PAGE_RULES).select("page_id", "url", F.col("n.host").alias("h"))
     tags = F.create_map(F.lit("website"), F.concat("url", F.lit("; "), "h"), F.lit("email"), F.concat(F.lit(" x@"), "h"), F.lit("name"), F.lit("y"))
     seen = lists.map_objects(rows.select(F.lit("node").alias("osm_type"), F.col("page_id").alias("osm_id"), tags.alias("tags")))
     return seen.select(F.get_json_object("metadata", "$.osm_id").cast("long").alias("page_id"), "raw", F.get_json_object("metadata", "$.tag").alias("tag"))
