@@ -28,10 +28,15 @@ def write_text_file(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text_file(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, None where there is none."""
     fs, target = _fs(spark, path)
     if not fs.exists(target):
         return None
-    return "\n".join(r[0] for r in spark.read.text(path).collect())  # a small file
+    stream = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
 
 
 def _single_file(rows: DataFrame, write, path: str) -> None:

@@ -79,11 +79,11 @@ def suffix_prefilter(spark, d):
 
 
 @_query(
-    """WITH raw AS (SELECT url AS raw FROM pages UNION ALL SELECT regexp_extract(text, '^\\S*') FROM documents)
+    """WITH raw AS (SELECT url AS raw FROM pages UNION ALL SELECT s_name FROM supplier)
     SELECT count(*) AS rows_read, count(*) FILTER (raw LIKE 'http%://%.example.%') AS hostnames_accepted, count(*) FILTER (NOT raw LIKE 'http%://%.example.%') AS rejected FROM raw"""
 )
 def normalize_reject_counts(spark, d):
-    raw = _t(spark, d, "pages").select("url").union(_t(spark, d, "documents").select(F.regexp_extract("text", r"^\S*", 0)))
+    raw = _t(spark, d, "pages").select("url").union(_t(spark, d, "supplier").select("s_name"))
     seen = raw.select(F.lit("").alias("seq"), F.col("url").alias("raw"), F.lit(None).cast("long").alias("rank"), F.lit(None).cast("string").alias("metadata"), F.lit(True).alias("offered"), F.lit(False).alias("short"))
     empty = spark.createDataFrame([], "domain string, hostname string")
     return registry.run_counters(registry.normalise(seen, PAGE_RULES), empty, empty).select("rows_read", "hostnames_accepted", "rejected")

@@ -38,7 +38,7 @@ class Registry:
     rules: HostRules = RO_RULES
 
     def _version(self) -> int:
-        return int(sinks.read_text_file(self.spark, f"{self.root}/_current") or 0)
+        return int(sinks.read_text_file(self.spark, f"{self.root}/CURRENT") or 0)
 
     def tables(self) -> dict[str, DataFrame]:
         """The current version."""
@@ -52,7 +52,7 @@ class Registry:
         for name, schema in SCHEMAS.items():
             columns = [f.split()[0] for f in schema.split(", ")]
             tables[name].select(*columns).write.mode("overwrite").parquet(f"{self.root}/v{v:06d}/{name}")
-        sinks.write_text_file(self.spark, f"{self.root}/_current", str(v))
+        sinks.write_text_file(self.spark, f"{self.root}/CURRENT", str(v))
 
     def sync(self, catalog_path: str) -> None:
         """Create the registry or bring its source catalog up to date."""
