@@ -216,17 +216,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         roots = stage(_rescan(roots).join(merged, "root", "left").select("node", F.coalesce("new", "root").alias("root")), "dedup-roots")
     discard(sets)
     classed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    names = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    # staged, so that both sides of the join are plain exchanges and a class of many rows can be split
+    classed = stage(classed, "dedup-classed")
+    names = stage(_rescan(classed).groupBy("root").agg(F.min("doc_id").alias("class_id")), "dedup-names")
     return classed.join(names, "root").select("doc_id", "row_key", "root", "class_id")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` with one row of each class of near duplicates: that of the smallest doc_id, then of the smallest row_key."""
     classes = near_duplicates(docs, **options)
-    stay = classes.groupBy("root").agg(F.min(F.struct("doc_id", "row_key")).alias("first")).select(F.col("first.row_key").alias("_row_key"))
-    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text")).join(stay, "_row_key", "left_semi")
+    stay = classes.groupBy("root").agg(F.min(F.struct("doc_id", "row_key")).alias("first")).select(F.col("first.row_key").alias("__row_key"))
+    keyed = docs.withColumn("__row_key", F.xxhash64("doc_id", "text")).join(stay, "__row_key", "left_semi")
     # rows that repeat the row that stays have its key
-    return keyed.groupBy("_row_key").agg(*[F.first(c).alias(c) for c in docs.columns]).select(*docs.columns)
+    return keyed.groupBy("__row_key").agg(*[F.first(c).alias(c) for c in docs.columns]).select(*docs.columns)
 
 
 def _rescan(staged: DataFrame) -> DataFrame:

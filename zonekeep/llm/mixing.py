@@ -74,7 +74,7 @@ def plan_sources(targets: DataFrame, block_words: int = BLOCK_WORDS, least_block
     total = F.sum("slots").over(Window.partitionBy(F.lit(0)))
     high = F.sum("slots").over(line)
     # the upper end is a running sum of whole numbers, so the intervals meet exactly
-    return out.withColumn("total_slots", total).withColumn("high", high / total).withColumn("low", (high - F.col("slots")) / total)
+    return out.withColumn("total_slots", total).withColumn("high", F.try_divide(high, total)).withColumn("low", F.try_divide(high - F.col("slots"), total))
 
 
 def schedule(sources: DataFrame, slot_chunk: int = SLOT_CHUNK, surplus: float = 0.01) -> DataFrame:
@@ -181,11 +181,11 @@ def repeat_documents(docs: DataFrame, **options) -> DataFrame:
     taken = mix_sources(keyed, **options)
     times = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))).cast("int")
     # rows with the same key repeat each other: together they stay as often as all of them are taken
-    copies = taken.groupBy(F.col("doc_id").alias("_key")).agg(F.sum(times).alias("_all"), F.count("*").alias("_rows"))
-    joined = docs.withColumn("_key", key).join(copies, "_key")
-    share = F.col("_all").cast("double") / F.col("_rows")
+    copies = taken.groupBy(F.col("doc_id").alias("__mix_key")).agg(F.sum(times).alias("__mix_all"), F.count("*").alias("__mix_rows"))
+    joined = docs.withColumn("__mix_key", key).join(copies, "__mix_key")
+    share = F.col("__mix_all").cast("double") / F.col("__mix_rows")
     whole = F.floor(share).cast("int")
     # what is left over goes to some of the repeats by their place, which is the same for equal rows
-    extra = F.pmod(F.xxhash64("_key", F.spark_partition_id(), F.monotonically_increasing_id()), F.col("_rows")) < F.col("_all") - whole * F.col("_rows")
-    count = whole + F.when((F.col("_rows") > 1) & extra, 1).otherwise(0)
-    return joined.withColumn("_n", count).filter("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*names)
+    extra = F.pmod(F.xxhash64("__mix_key", F.spark_partition_id(), F.monotonically_increasing_id()), F.col("__mix_rows")) < F.col("__mix_all") - whole * F.col("__mix_rows")
+    count = whole + F.when((F.col("__mix_rows") > 1) & extra, 1).otherwise(0)
+    return joined.withColumn("__mix_n", count).filter("__mix_n > 0").withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n")))).select(*names)

@@ -190,3 +190,10 @@ def score_documents(docs: DataFrame, model: RuleEnsemble, keep: tuple[str, ...]
     score = model.score_column({n: F.col(n) for n in stats})
     scored = staged.select(*[F.col(f"keep_{c}").alias(c) for c in keep], "held_out", score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= F.lit(THRESHOLD)).cast("int"))
+
+
+def keep_good(docs: DataFrame, model: RuleEnsemble, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score at or over the threshold."""
+    stats = {n: F.when(F.spark_partition_id() >= 0, c.cast("double")) for n, c in statistics(F.col("text")).items()}
+    staged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in stats.items()])
+    return staged.filter(model.score_column({n: F.col(n) for n in stats}) >= threshold).select("row.*")

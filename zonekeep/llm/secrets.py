@@ -226,7 +226,11 @@ def labelled_findings(n: int = 4000, seed: int = 3) -> list[tuple[str, str, str,
                 else draw(alnum + "!@^-_.", rng.randint(8, 24)) if way == 5
                 else draw("abcdefghijklmnopqrstuvwxyz0123456789", rng.randint(12, 40))
             )
-            if way == 4 and rng.random() < 0.5:
+            if rng.random() < 0.1:
+                body = "\n".join(base64.b64encode(rng.randbytes(48)).decode() for _ in range(rng.randint(0, 20)))
+                value = f"-----BEGIN {rng.choice(['', 'RSA ', 'EC '])}PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"
+                kind, before, after = "block", f"{prose()} ", f" {prose()}"
+            elif way == 4 and rng.random() < 0.5:
                 kind, before, after = "known", f"{prose()} ", f" {prose()}"
             else:
                 quote = rng.choice(["", '"', "'"])

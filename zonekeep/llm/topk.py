@@ -183,7 +183,8 @@ def _search_wide(queries, query_ids, floors, points, ids, times, k):
 
 def _matrix(table: pa.Table) -> np.ndarray:
     column = table.column("v").combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), -1) if len(column) else np.zeros((0, 0), np.int64)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return flat.reshape(len(column), -1) if len(flat) else np.zeros((len(column), 0), np.int64)
 
 
 def whole_numbers(vector: Column, factor: int = 1024) -> Column:
