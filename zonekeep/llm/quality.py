@@ -184,16 +184,29 @@ def fit_on(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) ->
 
 def score_documents(docs: DataFrame, model: RuleEnsemble, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, held_out, score and predicted of every document."""
-    # a condition that the optimizer cannot decide keeps it from copying the statistics into every rule and filter
-    stats = {n: F.when(F.spark_partition_id() >= 0, c) for n, c in statistics(F.col("text")).items()}
-    staged = docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], held_out(F.col("doc_id")).alias("held_out"), *[c.cast("double").alias(n) for n, c in stats.items()])
-    score = model.score_column({n: F.col(n) for n in stats})
+    staged = _with_statistics(docs, [F.col(c).alias(f"keep_{c}") for c in keep] + [held_out(F.col("doc_id")).alias("held_out")])
+    score = _score(model)
     scored = staged.select(*[F.col(f"keep_{c}").alias(c) for c in keep], "held_out", score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= F.lit(THRESHOLD)).cast("int"))
 
 
 def keep_good(docs: DataFrame, model: RuleEnsemble, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score at or over the threshold."""
-    stats = {n: F.when(F.spark_partition_id() >= 0, c.cast("double")) for n, c in statistics(F.col("text")).items()}
-    staged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in stats.items()])
-    return staged.filter(model.score_column({n: F.col(n) for n in stats}) >= threshold).select("row.*")
+    staged = _with_statistics(docs, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")])
+    return staged.filter(_score(model) >= threshold).select("row.*")
+
+
+def _with_statistics(docs: DataFrame, others: list[Column]) -> DataFrame:
+    """``others`` and the statistics, each computed once.
+
+    The partition number beside them is not deterministic, which keeps the
+    optimizer from copying the statistics into every rule of a filter above;
+    it stays because the score asks for it.
+    """
+    stats = statistics(F.col("text"))
+    return docs.select(*others, F.spark_partition_id().alias("stat_part"), *[c.cast("double").alias(f"stat_{n}") for n, c in stats.items()])
+
+
+def _score(model: RuleEnsemble) -> Column:
+    names = statistics(F.lit(""))
+    return F.when(F.col("stat_part") >= 0, model.score_column({n: F.col(f"stat_{n}") for n in names}))
