@@ -168,10 +168,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """doc_id, row_key, root, class_id for ``docs`` (doc_id, text), a row for each row.
+def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
+    """doc_id, row_key, root for ``docs`` (doc_id, text), a row for each row, as a staged table.
 
-    class_id is the smallest doc_id of the class, root numbers the class, and row_key is xxhash64(doc_id, text).
+    root numbers the class, and row_key is xxhash64(doc_id, text).
     """
     full = stage(signed(docs, bands, rows, words), "dedup-signed")
     nodes = stage(full.select("doc_id", "row_key", "node"), "dedup-nodes")
@@ -216,19 +216,27 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         roots = stage(_rescan(roots).join(merged, "root", "left").select("node", F.coalesce("new", "root").alias("root")), "dedup-roots")
     discard(sets)
     classed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return stage(classed.select("doc_id", "row_key", "root"), "dedup-classed")
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id for ``docs`` (doc_id, text), a row for each row; class_id is the smallest doc_id of the class."""
+    classed = classify(docs, **options)
     # staged, so that both sides of the join are plain exchanges and a class of many rows can be split
-    classed = stage(classed, "dedup-classed")
     names = stage(_rescan(classed).groupBy("root").agg(F.min("doc_id").alias("class_id")), "dedup-names")
-    return classed.join(names, "root").select("doc_id", "row_key", "root", "class_id")
+    return classed.join(names, "root").select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` with one row of each class of near duplicates: that of the smallest doc_id, then of the smallest row_key."""
-    classes = near_duplicates(docs, **options)
-    stay = classes.groupBy("root").agg(F.min(F.struct("doc_id", "row_key")).alias("first")).select(F.col("first.row_key").alias("__row_key"))
-    keyed = docs.withColumn("__row_key", F.xxhash64("doc_id", "text")).join(stay, "__row_key", "left_semi")
-    # rows that repeat the row that stays have its key
-    return keyed.groupBy("__row_key").agg(*[F.first(c).alias(c) for c in docs.columns]).select(*docs.columns)
+    classed = classify(docs, **options)
+    first = F.min(F.struct("doc_id", "row_key")).alias("first")
+    stay = stage(classed.groupBy("root").agg(first).select(F.col("first.row_key").alias("__row_key")), "dedup-stay")
+    keyed = docs.withColumn("__row_key", F.xxhash64("doc_id", "text"))
+    if not _rescan(classed).groupBy("row_key").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        # rows that repeat an id and text are one row, brought together before they are moved
+        keyed = keyed.groupBy("__row_key").agg(*[F.first(c).alias(c) for c in docs.columns])
+    return keyed.join(stay, "__row_key", "left_semi").select(*docs.columns)
 
 
 def _rescan(staged: DataFrame) -> DataFrame:
