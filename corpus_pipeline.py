@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from zonekeep.llm import bpe, dedup, mixing, quality, secrets
 from zonekeep.llm.queries import vocabulary
@@ -13,7 +12,7 @@ from zonekeep.store import stage
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled rows, does not reject."""
     model = quality.fit_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_documents(docs, model, keep=tuple(docs.columns)).filter(F.col("predicted") == 1).select(*docs.columns)
+    return quality.keep_good(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
