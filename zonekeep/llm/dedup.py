@@ -13,8 +13,8 @@ The signatures are joined by bands.  Texts with the same set are one node.
 In each band bucket the members are compared with its smallest and its largest
 node, never all with all, and every pair is verified by the exact Jaccard
 similarity of the two shingle sets.  Nodes that stay apart though they share a
-bucket are dealt anew: the bucket's still separate components are compared by
-other leaders, round by round, until no bucket yields a link.  Connected
+bucket are dealt anew: leaders drawn from the bucket's still separate components
+are compared with its members, round by round, until no bucket yields a link.  Connected
 components of the links are the classes.
 
 Defined results: a null text is an empty text; all texts without words are one
@@ -40,7 +40,9 @@ WORDS, SIMILARITY = 5, 0.8
 #: Bands and coordinates of a band: a pair of similarity 0.8 is missed with probability (1 - 0.8^6)^32 = 6e-5.
 BANDS, ROWS = 32, 6
 #: Rounds of leaders at most for buckets that stay apart.
-ROUNDS = 6
+ROUNDS = 8
+#: Leaders of a bucket in each round after the first.
+LEADERS = 4
 _U = np.uint64
 _STRIP, _DART = _U(0x9FB21C651E98DF25), _U(0xD6E8FEB86659FD93)
 
@@ -192,13 +194,16 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
             apart = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
             member = stage(member.join(apart, "key", "left_semi"), "dedup-apart")
             member = _rescan(member)
-        rank = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
-        ranked = member.withColumn("rank", rank).groupBy("key").agg(
-            F.min_by("node", "rank").alias("p"), F.min_by("root", "rank").alias("p_root"), F.max_by("node", "rank").alias("q"), F.max_by("root", "rank").alias("q_root")
-        )
-        pairs = member.join(ranked, "key").select(
-            "node", "root", F.explode(F.array(F.struct(F.col("p").alias("b"), F.col("p_root").alias("b_root")), F.struct(F.col("q").alias("b"), F.col("q_root").alias("b_root")))).alias("h")
-        )
+        if turn:
+            # leaders stand for components drawn by hash, so a few stragglers beside a large component are drawn as soon as it
+            one = member.groupBy("key", "root").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("node"))
+            draws = [F.xxhash64("root", F.lit(turn * LEADERS + j)) for j in range(LEADERS)]
+            leaders = one.groupBy("key").agg(*[F.min_by("node", r).alias(f"p{j}") for j, r in enumerate(draws)], *[F.min_by("root", r).alias(f"r{j}") for j, r in enumerate(draws)])
+            pairs_of = [F.struct(F.col(f"p{j}").alias("b"), F.col(f"r{j}").alias("b_root")) for j in range(LEADERS)]
+        else:
+            leaders = member.groupBy("key").agg(F.min("node").alias("p"), F.max("node").alias("q"))
+            pairs_of = [F.struct(F.col(k).alias("b"), F.col(k).alias("b_root")) for k in ("p", "q")]
+        pairs = member.join(leaders, "key").select("node", "root", F.explode(F.array_distinct(F.array(*pairs_of))).alias("h"))
         pairs = pairs.filter("root <> h.b_root").select(F.least("node", "h.b").alias("a"), F.greatest("node", "h.b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -209,7 +214,7 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
         edges = links.join(roots.withColumnRenamed("node", "a").withColumnRenamed("root", "x"), "a").join(old.withColumnRenamed("node", "b").withColumnRenamed("root", "y"), "b")
         edges = stage(edges.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "dedup-edges")
         if edges.isEmpty():
-            if turn:
+            if turn > 1:
                 break
             continue
         merged = connected(edges, "dedup").select(F.col("node").alias("root"), F.col("root").alias("new"))
