@@ -194,10 +194,14 @@ def registry_upsert_merge(spark, d):
     return registry.fold_sources(prior.unionByName(batch), "domain", True)
 
 
-@_query("SELECT DISTINCT l_partkey::VARCHAR AS domain FROM lineitem a WHERE l_orderkey % 5 = 1 AND NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_orderkey % 5 = 0 AND b.l_partkey = a.l_partkey)")
+@_query(
+    """SELECT DISTINCT l_partkey::VARCHAR AS domain, l_suppkey::VARCHAR AS source_id FROM lineitem a WHERE l_orderkey % 2 = 1
+    AND NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_orderkey % 2 = 0 AND b.l_partkey = a.l_partkey AND b.l_suppkey = a.l_suppkey)"""
+)
 def registry_new_keys(spark, d):
-    seen = _sightings(spark, d)
-    return seen.filter("l_orderkey % 5 = 1").select("domain").distinct().join(seen.filter("l_orderkey % 5 = 0").select("domain"), "domain", "left_anti")
+    """Keys of a batch (odd orders) that the state (even orders) does not have."""
+    seen, keys = _sightings(spark, d), ["domain", "source_id"]
+    return seen.filter("l_orderkey % 2 = 1").select(*keys).distinct().join(seen.filter("l_orderkey % 2 = 0").select(*keys), keys, "left_anti")
 
 
 @_query(
@@ -247,13 +251,13 @@ def stats_by_source(spark, d):
 
 @_query(
     """SELECT (SELECT count(*) FROM customer WHERE c_mktsegment NOT LIKE '%E%') AS invalid_suffix, (SELECT count(*) FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderdate > l.l_shipdate) AS invalid_seen_order,
-    (SELECT count(*) FROM orders WHERE o_custkey % 10 = 0) AS orphan_hostnames, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS unfinished_imports"""
+    (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)) AS orphan_hostnames, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS unfinished_imports"""
 )
 def verify_checks(spark, d):
     orders, customer, line = _t(spark, d, "orders"), _t(spark, d, "customer"), _t(spark, d, "lineitem")
     suffix = customer.agg(F.count_if(~F.contains("c_mktsegment", F.lit("E"))).alias("invalid_suffix"))
     order = orders.join(line, F.col("l_orderkey") == F.col("o_orderkey")).agg(F.count_if(quality.seen_out_of_order("o_orderdate", "l_shipdate")).alias("invalid_seen_order"))
-    lost = quality.orphans(orders, "o_custkey", customer.filter("c_custkey % 10 <> 0"), "c_custkey").agg(F.count("*").alias("orphan_hostnames"))
+    lost = quality.orphans(orders, "o_custkey", customer.filter("c_acctbal >= 0"), "c_custkey").agg(F.count("*").alias("orphan_hostnames"))
     return suffix.crossJoin(order).crossJoin(lost).crossJoin(orders.agg(F.count_if(F.col("o_orderstatus") == "P").alias("unfinished_imports")))
 
 
@@ -268,10 +272,10 @@ def enum_violations(spark, d):
 
 
 @_query(
-    """SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT l_partkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey = 1 AND l_linenumber = 1) GROUP BY l_suppkey"""
+    """SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT l_partkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey = 1) GROUP BY l_suppkey"""
 )
 def public_semi_join(spark, d):
-    public = registry.public_domains(_sightings(spark, d).filter("best_rank = 1"), _sources(spark, d))
+    public = registry.public_domains(_sightings(spark, d), _sources(spark, d))
     rows = _t(spark, d, "lineitem").withColumn("domain", F.col("l_partkey").cast("string"))
     return registry.only_public(rows, public).groupBy("l_suppkey").agg(F.count("*").alias("n"))
 
@@ -292,13 +296,13 @@ def idempotent_reimport(spark, d):
 
 
 @_query(
-    """SELECT s_suppkey AS source_id, s_name || ' new' AS name FROM supplier WHERE s_suppkey % 3 <> 0
-    UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 2 = 0"""
+    """SELECT s_suppkey AS source_id, s_name || CASE WHEN s_acctbal > 0 THEN ' new' ELSE '' END AS name FROM supplier"""
 )
 def catalog_sync(spark, d):
-    rows = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("source_id"), F.col("s_name").alias("name"))
-    new = rows.filter("source_id % 3 <> 0").withColumn("name", F.concat("name", F.lit(" new")))
-    return catalog.sync_catalog(rows.filter("source_id % 2 = 0"), new)
+    """New descriptions of the sources with a balance; the others stay as they were."""
+    rows = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("source_id"), F.col("s_name").alias("name"), "s_acctbal")
+    new = rows.filter("s_acctbal > 0").select("source_id", F.concat("name", F.lit(" new")).alias("name"))
+    return catalog.sync_catalog(rows.drop("s_acctbal"), new)
 
 
 @_query("SELECT doc_id, sha256(text) AS digest FROM documents")
@@ -426,15 +430,14 @@ def json_invalid_count(spark, d):
 
 
 @_query(
-    """SELECT u.user_id AS domain, t.event_type AS query_type, EXISTS (SELECT 1 FROM events e WHERE e.user_id = u.user_id AND e.event_type = t.event_type AND e.ts < (SELECT min(ts) + INTERVAL 2 DAY FROM events)) AS present
-    FROM (SELECT DISTINCT user_id FROM events WHERE ts < (SELECT min(ts) + INTERVAL 2 DAY FROM events)) u CROSS JOIN (SELECT DISTINCT event_type FROM events) t"""
+    """SELECT u.domain, t.event_type AS query_type, EXISTS (SELECT 1 FROM events e WHERE e.user_id || '-' || (e.event_id % 5 + 1) = u.domain AND e.event_type = t.event_type) AS present
+    FROM (SELECT DISTINCT user_id || '-' || (event_id % 5 + 1) AS domain FROM events) u CROSS JOIN (SELECT DISTINCT event_type FROM events) t"""
 )
 def completeness_cross(spark, d):
+    """Which types each name has in each pass."""
     events = _t(spark, d, "events")
     types = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").collect()]  # the type list
-    start = events.agg(F.min("ts").alias("start"))
-    early = events.crossJoin(F.broadcast(start)).filter(F.col("ts") < F.col("start") + F.expr("interval 2 days"))  # one row
-    return dns.completeness(early.select(F.col("user_id").alias("domain"), F.col("event_type").alias("query_type")), types)
+    return dns.completeness(events.select(F.concat_ws("-", F.col("user_id").cast("string"), (F.col("event_id") % 5 + 1).cast("string")).alias("domain"), F.col("event_type").alias("query_type")), types)
 
 
 @_query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL")
