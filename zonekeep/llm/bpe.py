@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of text whose pieces are indexed together; a longer text is a batch of its own.
 BATCH_CHARS = 16_000_000
+#: Characters from which on a text is cut piece by piece.
+LONG_CHARS = 4_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -67,6 +69,7 @@ class PairIndexBPE:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.added_pattern = regex.compile("|".join(map(regex.escape, longest_first))) if self.added else None
         self.find = regex.compile(PIECES).findall
+        self.find_each = regex.compile(PIECES).finditer
 
     def pieces(self, text: str) -> list[str]:
         """The text cut into pieces; an added token is a piece of its own."""
@@ -79,6 +82,16 @@ class PairIndexBPE:
             at = m.end()
         return out + self.find(text[at:])
 
+    def _each_piece(self, text: str) -> Iterator[str]:
+        at = 0
+        for m in self.added_pattern.finditer(text) if self.added else ():
+            for piece in self.find_each(text[at : m.start()]):
+                yield piece[0]
+            yield m[0]
+            at = m.end()
+        for piece in self.find_each(text[at:]):
+            yield piece[0]
+
     def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 for none."""
         if not len(self.keys):
@@ -158,7 +171,10 @@ class PairIndexBPE:
         number: dict[str, int] = {}
         cut = []
         for text in texts:
-            cut.append(np.array([number.setdefault(p, len(number)) for p in self.pieces(text)], np.int64))
+            if len(text) <= LONG_CHARS:
+                cut.append(np.array([number.setdefault(p, len(number)) for p in self.pieces(text)], np.int64))
+            else:  # piece by piece, so that the pieces of a very long text are never held together
+                cut.append(np.fromiter((number.setdefault(p, len(number)) for p in self._each_piece(text)), np.int64))
         ids, bounds = self.learn([p if p not in self.added else "" for p in number])
         for token in self.added.keys() & number.keys():  # an added token has its own id
             k = number[token]

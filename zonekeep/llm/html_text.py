@@ -4,8 +4,8 @@ The page becomes a tree with HTML's own rules for void elements, raw text and
 implied end tags.  Menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments are set aside by element, role and by the
 words in class and id.  Each paragraph passes points for its length and commas
-to its ancestors, halved and then thinned with distance; a container's points
-are discounted by its share of link text.  The best container is kept, or the
+to its parent, and every ancestor gets half of what the one below it got; a
+container's points are discounted by its share of link text.  The best container is kept, or the
 article around it, and of its siblings those that score or read like it.
 
 Blocks are the runs of text between block elements; white space inside a block
@@ -65,13 +65,14 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 
 
 class _Node:
-    __slots__ = ("aside", "items", "link_chars", "parent", "points", "tag", "text_chars")
+    __slots__ = ("aside", "commas", "items", "link_chars", "parent", "passed", "points", "tag", "text_chars", "touched")
 
     def __init__(self, tag: str, parent: _Node | None, aside: bool):
         self.tag, self.parent, self.aside = tag, parent, aside
         self.items: list = []
         self.points = START.get(tag, 0.0)
-        self.text_chars = self.link_chars = 0
+        self.text_chars = self.link_chars = self.commas = 0
+        self.passed, self.touched = 0.0, False
 
 
 def _is_aside(tag: str, attributes: str) -> bool:
@@ -97,6 +98,16 @@ def parse(html: str) -> _Node:
     """The tree of a page: items of a node are its texts and child nodes in order."""
     root = _Node("#page", None, False)
     now, at, n = root, 0, len(html)
+    open_tags: dict[str, int] = {}
+
+    def close_to(node: _Node, now: _Node) -> _Node:
+        """The parent of ``node`` after everything open down to it is closed."""
+        while True:
+            open_tags[now.tag] -= 1
+            if now is node:
+                return now.parent
+            now = now.parent
+
     find = _TAG.search
     lower = None
     while at < n:
@@ -111,27 +122,27 @@ def parse(html: str) -> _Node:
             continue
         tag = m[1].lower()
         if html[m.start() + 1] == "/":
-            node = now
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                now = node.parent
+            if open_tags.get(tag):  # a stray end tag is not looked for
+                node = now
+                while node.tag != tag:
+                    node = node.parent
+                now = close_to(node, now)
             continue
         attributes = m[2].rstrip("/>")
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and open_tags.get("p"):
             node = now
             while node is not root and node.tag != "p" and node.tag not in _SCOPE:
                 node = node.parent
             if node.tag == "p":
-                now = node.parent
-        if ends := IMPLIED_END.get(tag):
+                now = close_to(node, now)
+        if (ends := IMPLIED_END.get(tag)) and any(open_tags.get(x) for x in ends[0]):
             node, close = now, None
             while node is not root and node.tag not in ends[1]:
                 if node.tag in ends[0]:
                     close = node
                 node = node.parent
             if close is not None:
-                now = close.parent
+                now = close_to(close, now)
         node = _Node(tag, now, _is_aside(tag, attributes))
         now.items.append(node)
         if tag in RAW:
@@ -145,6 +156,7 @@ def parse(html: str) -> _Node:
             at = n if close < 0 else close + 1
         elif tag not in VOID:
             now = node
+            open_tags[tag] = open_tags.get(tag, 0) + 1
     return root
 
 
@@ -157,27 +169,19 @@ def _measure(root: _Node) -> list[_Node]:
         kept = [x for x in node.items if isinstance(x, _Node) and not x.aside]
         stack.extend(reversed(kept))
     for node in reversed(order):
-        own = sum(len(x.strip()) for x in node.items if isinstance(x, str))
-        node.text_chars += own
+        for x in node.items:
+            if isinstance(x, str):
+                node.text_chars += len(x.strip())
+                node.commas += x.count(",") + x.count("，") + x.count("、")
         if node.tag == "a":
             node.link_chars = node.text_chars
         if node.parent is not None:
             node.parent.text_chars += node.text_chars
             node.parent.link_chars += node.link_chars
+            node.parent.commas += node.commas
     return order
 
 
-def _commas(node: _Node) -> int:
-    total, stack = 0, [node]
-    while stack:
-        for x in stack.pop().items:
-            if isinstance(x, str):
-                total += x.count(",") + x.count("，") + x.count("、")
-            elif not x.aside:
-                stack.append(x)
-    return total
-
-
 def _link_share(node: _Node) -> float:
     return node.link_chars / node.text_chars if node.text_chars else 0.0
 
@@ -185,27 +189,26 @@ def _link_share(node: _Node) -> float:
 def choose(root: _Node) -> list[_Node]:
     """The best container and the siblings that belong to it, in page order."""
     order = _measure(root)
-    touched: dict[int, _Node] = {}
-    for node in order:
+    for node in reversed(order):  # from the leaves up, each node once
+        if node.parent is None or node.parent.tag in ("#page", "html"):
+            continue
         direct = any(isinstance(x, str) and x.strip() for x in node.items)
         inline = direct and not any(isinstance(x, _Node) and x.tag in BLOCK and not x.aside for x in node.items)
-        if not (node.tag in PARAGRAPHS and node.text_chars or node.tag in ("div", "section") and inline):
-            continue
-        if node.text_chars == 0:
-            continue
-        points = 1.0 + _commas(node) + min(node.text_chars / 100.0, 3.0)
-        up, level = node.parent, 0
-        while up is not None and up.tag not in ("#page", "html"):
-            up.points += points / (1.0 if level == 0 else 2.0 if level == 1 else 3.0 * level)
-            touched[id(up)] = up
-            up, level = up.parent, level + 1
-    for node in order:  # an article without paragraphs is still one
-        if node.tag in ("article", "main") and node.text_chars:
-            touched.setdefault(id(node), node)
+        given = node.passed / 2
+        if node.text_chars and (node.tag in PARAGRAPHS or node.tag in ("div", "section") and inline):
+            given += 1.0 + node.commas + min(node.text_chars / 100.0, 3.0)
+        if given:
+            node.parent.passed += given
+            node.parent.touched = True
+    for node in order:
+        node.points += node.passed
+        # an article without paragraphs is still one
+        node.touched |= node.tag in ("article", "main") and node.text_chars > 0
+    touched = [x for x in order if x.touched]
     if not touched:
         return [root]
     value = lambda x: x.points * (1.0 - _link_share(x))
-    best = max((x for x in order if id(x) in touched), key=value)
+    best = max(touched, key=value)
     up = best
     while up is not None:  # the article is one piece, however it is divided
         if up.tag == "article" or up.tag == "main" and best.tag != "article":
@@ -217,14 +220,14 @@ def choose(root: _Node) -> list[_Node]:
             break
         best = best.parent
     if best.parent is None or best.tag in ("body", "main", "article"):
-        return [best] if best.tag != "article" else [x for x in best.parent.items if isinstance(x, _Node) and not x.aside and (x is best or x.tag == "article" and id(x) in touched and value(x) >= max(10.0, 0.2 * value(best)))]
+        return [best] if best.tag != "article" else [x for x in best.parent.items if isinstance(x, _Node) and not x.aside and (x is best or x.tag == "article" and x.touched and value(x) >= max(10.0, 0.2 * value(best)))]
     least = max(10.0, 0.2 * value(best))
     kept = []
     for x in best.parent.items:
         if not isinstance(x, _Node) or x.aside:
             continue
         like = x.tag in _LIKE and (x.text_chars > 80 and _link_share(x) < 0.25 or 0 < x.text_chars <= 80 and x.link_chars == 0)
-        if x is best or id(x) in touched and value(x) >= least or like:
+        if x is best or x.touched and value(x) >= least or like:
             kept.append(x)
     return kept
 
