@@ -2,12 +2,14 @@
 
 A staged table cuts lineage: a lost executor costs the tasks it was running,
 never the stages before them.  Files go to ``spark.checkpoint.dir``; only a
-local session without that setting gets a temporary folder of its own.
+local session without that setting gets a temporary folder of its own.  Tables that
+are still there when the driver's process ends are deleted then.
 """
 
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -15,6 +17,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_STAGED: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _clean() -> None:
+    for path, spark in _STAGED.items():
+        with contextlib.suppress(Exception):  # the JVM may have ended before
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -35,6 +50,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder once and return a scan of the files."""
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _STAGED[path] = spark
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
@@ -45,6 +61,5 @@ def discard(df: DataFrame | None) -> None:
     """Delete the files of a staged table that nothing reads any more."""
     path = getattr(df, "_staged_at", None)
     if path:
-        jvm, spark = df.sparkSession._jvm, df.sparkSession
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)
+        _STAGED.pop(path, None)
