@@ -135,11 +135,22 @@ class Registry:
         totals = registry.stats_totals(t, t["sources"], t["import_runs"]).first().asDict()
         return totals | {"by_source": [r.asDict() for r in registry.stats_by_source(t["domain_sources"], t["sources"]).collect()]}  # a row a source
 
+    @staticmethod
+    def _readable(table: DataFrame) -> bool:
+        """Whether every row and column of a table can be read from its files."""
+        try:
+            table.agg(F.sum(F.hash(*table.columns).cast("long"))).first()
+        except Exception:
+            return False
+        return True
+
     def verify(self) -> dict:
+        """Counts of violations by check, all zero where ``ok``."""
         t = self.tables()
         out = quality.verify(t, self.rules.tlds).first().asDict()
         for name, keys in KEYS.items():
             out[f"duplicate_{name}"] = quality.duplicate_keys(t[name], keys).count()
+        out["unreadable_tables"] = sum(not self._readable(t[name]) for name in SCHEMAS)
         out["unknown_redistribution_status"] = quality.enum_violations(t["sources"], "redistribution_status").count()
         out["ok"] = all(v == 0 for k, v in out.items() if k != "ok")
         return out
