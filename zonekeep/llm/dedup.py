@@ -40,9 +40,7 @@ WORDS, SIMILARITY = 5, 0.8
 #: Bands and coordinates of a band: a pair of similarity 0.8 is missed with probability (1 - 0.8^6)^32 = 6e-5.
 BANDS, ROWS = 32, 6
 #: Rounds of leaders at most for buckets that stay apart.
-ROUNDS = 8
-#: Leaders of a bucket in each round after the first.
-LEADERS = 4
+ROUNDS = 5
 _U = np.uint64
 _STRIP, _DART = _U(0x9FB21C651E98DF25), _U(0xD6E8FEB86659FD93)
 
@@ -179,31 +177,30 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
     nodes = stage(full.select("doc_id", "row_key", "node"), "dedup-nodes")
     # exact copies are one node from here on
     banded = full.groupBy("node").agg(F.first("keys").alias("keys")).select("node", F.explode("keys").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
-    buckets = stage(banded.join(shared.select("key"), "key", "left_semi").select("key", "node"), "dedup-buckets")
-    meeting = stage(buckets.select("node").distinct(), "dedup-meeting")
-    sets = full.select("node", "shingles").join(meeting, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).filter("low <> high")
+    buckets = stage(banded.join(shared.select("key", "n"), "key").select("key", "node", "n"), "dedup-buckets")
+    # how many others a node meets in its buckets; the texts that a group was made from meet most
+    meeting = stage(buckets.groupBy("node").agg(F.sum("n").alias("degree")), "dedup-meeting")
+    sets = full.select("node", "shingles").join(meeting.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
     sets = stage(sets, "dedup-sets")
     discard(full)
 
     tried = None
-    roots = stage(meeting.select("node", F.col("node").alias("root")), "dedup-roots")
+    roots = stage(meeting.select("node", "degree", F.col("node").alias("root")), "dedup-roots")
     for turn in range(ROUNDS):
-        member = buckets.join(roots, "node")
+        member = buckets.select("key", "node").join(roots, "node")
         if turn:  # only buckets whose members are still apart
             apart = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
             member = stage(member.join(apart, "key", "left_semi"), "dedup-apart")
             member = _rescan(member)
-        if turn:
-            # leaders stand for components drawn by hash, so a few stragglers beside a large component are drawn as soon as it
-            one = member.groupBy("key", "root").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("node"))
-            draws = [F.xxhash64("root", F.lit(turn * LEADERS + j)) for j in range(LEADERS)]
-            leaders = one.groupBy("key").agg(*[F.min_by("node", r).alias(f"p{j}") for j, r in enumerate(draws)], *[F.min_by("root", r).alias(f"r{j}") for j, r in enumerate(draws)])
-            pairs_of = [F.struct(F.col(f"p{j}").alias("b"), F.col(f"r{j}").alias("b_root")) for j in range(LEADERS)]
-        else:
-            leaders = member.groupBy("key").agg(F.min("node").alias("p"), F.max("node").alias("q"))
-            pairs_of = [F.struct(F.col(k).alias("b"), F.col(k).alias("b_root")) for k in ("p", "q")]
-        pairs = member.join(leaders, "key").select("node", "root", F.explode(F.array_distinct(F.array(*pairs_of))).alias("h"))
+        if turn:  # a member, and a component (few stragglers beside a large component are drawn as soon as it), by hash
+            draws = [F.xxhash64("node", F.lit(turn)), F.xxhash64("root", F.lit(turn))]
+        else:  # the member that meets most others, and any other
+            draws = [-F.col("degree"), F.xxhash64("node")]
+        leaders = member.groupBy("key").agg(*[F.min_by(c, r).alias(f"{c}{j}") for j, r in enumerate(draws) for c in ("node", "root")])
+        heads = F.array_distinct(F.array(*[F.struct(F.col(f"node{j}").alias("b"), F.col(f"root{j}").alias("b_root")) for j in range(len(draws))]))
+        # staged, so that a bucket of many members can be split in the join
+        pairs = member.join(stage(leaders, "dedup-leaders"), "key").select("node", "root", F.explode(heads).alias("h"))
         pairs = pairs.filter("root <> h.b_root").select(F.least("node", "h.b").alias("a"), F.greatest("node", "h.b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -211,16 +208,16 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = stage(_verify(pairs, sets, similarity), "dedup-links")
         old = _rescan(roots)
-        edges = links.join(roots.withColumnRenamed("node", "a").withColumnRenamed("root", "x"), "a").join(old.withColumnRenamed("node", "b").withColumnRenamed("root", "y"), "b")
+        edges = links.join(roots.drop("degree").withColumnRenamed("node", "a").withColumnRenamed("root", "x"), "a").join(old.drop("degree").withColumnRenamed("node", "b").withColumnRenamed("root", "y"), "b")
         edges = stage(edges.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "dedup-edges")
         if edges.isEmpty():
             if turn > 1:
                 break
             continue
         merged = connected(edges, "dedup").select(F.col("node").alias("root"), F.col("root").alias("new"))
-        roots = stage(_rescan(roots).join(merged, "root", "left").select("node", F.coalesce("new", "root").alias("root")), "dedup-roots")
+        roots = stage(_rescan(roots).join(merged, "root", "left").select("node", "degree", F.coalesce("new", "root").alias("root")), "dedup-roots")
     discard(sets)
-    classed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classed = nodes.join(roots.drop("degree"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     return stage(classed.select("doc_id", "row_key", "root"), "dedup-classed")
 
 
