@@ -2,7 +2,8 @@
 
 Words are counted over all training documents, in hashed ranges.  The model
 works on classes: each of the most frequent words is a class of its own, and
-the others are classed by how often they were seen, the unseen ones together.
+the others are classed by how often they were seen and by how they end, the
+unseen ones together.
 A log-bilinear model with two context positions predicts the class of the next
 word, q(w) . (C1 r(w-1) + C2 r(w-2)) + b(w), and is trained in numpy with
 noise-contrastive estimation: each task runs over its part of all training
@@ -40,12 +41,16 @@ from zonekeep.store import discard, stage
 #: Words with a class of their own, dimensions, noise words of a batch, tokens of a batch, rounds and first step size.
 SHORTLIST, DIMENSIONS, NOISE, BATCH, ROUNDS, STEP = 960, 16, 96, 2048, 2, 0.1
 #: Bytes of text of a block, and terms of a hashed range.
-BLOCK_BYTES, RANGE_TERMS = 2 << 20, 500_000
-BINS = 48
+BLOCK_BYTES, RANGE_TERMS = 2 << 20, 125_000
+#: Bins of counts, endings of words, and the classes that they make, of which 0 is "unseen".
+BINS, ENDINGS = 8, 54
+CLASSES = 1 + BINS * ENDINGS
 #: Start of the sums of squares of AdaGrad.
 EPS = 1e-6
-END_HASH = np.uint64(0xE4D0F7E27)
 _U = np.uint64
+END_HASH = _U(0xE4D0F7E00)
+_LOW = _U(63)
+_STOPS = np.isin(np.arange(256), list(b".,!?;:"))
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -56,9 +61,19 @@ def _unpack(raw: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw, max_output_size=1 << 40) if raw else b"", kind)
 
 
-def bin_of(count: np.ndarray) -> np.ndarray:
-    """0 unseen, 1, 2, 3 seen so often, then by powers of two."""
-    return np.where(count < 4, count, np.frexp(np.maximum(count, 1).astype(np.float64))[1] + 1).astype(np.int64)
+def ending_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """0 to 53: the last letter a-z of each word before a stop (0 for another), and 27 more where it holds bytes beyond ASCII."""
+    last = data[ends - 1]
+    last = np.where(_STOPS[last] & (ends - starts > 1), data[np.maximum(ends - 2, 0)], last).astype(np.int64)
+    beyond = np.concatenate([[0], np.cumsum(data >= 128)])
+    return np.where((last >= 97) & (last <= 122), last - 96, 0) + 27 * (beyond[ends] > beyond[starts])
+
+
+def class_of(count: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Class of words by count (1, 2, 3, then powers of two) and ending, which is in the low bits of a term."""
+    bins = np.where(count < 4, count, np.frexp(np.maximum(count, 1).astype(np.float64))[1] + 1)
+    ending = (terms & _LOW).astype(np.int64)
+    return np.where(count > 0, 1 + (np.minimum(bins, BINS) - 1) * ENDINGS + ending, 0).astype(np.int64)
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -72,7 +87,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 data, offs = text_buffer(texts.slice(begin, end - begin))
                 data = LOWER_ASCII[data]
                 starts, ends, bounds = word_spans(data, offs)
-                words = word_hashes(data, starts, ends)
+                words = word_hashes(data, starts, ends) & ~_LOW | ending_of(data, starts, ends).astype(np.uint64)
                 n = np.diff(bounds)
                 every = np.insert(words, bounds[1:], END_HASH)
                 vocab, tokens = np.unique(every, return_inverse=True)
@@ -97,7 +112,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
 
 def _gather(blocks: DataFrame, ranges: int, shortlist: int) -> DataFrame:
-    """Counts over all blocks: kind 0 a block's counts in a range, kind 1 frequent words, kind 2 tokens and types by bin."""
+    """Counts over all blocks: kind 0 a block's counts in a range, kind 1 frequent words, kind 2 tokens and types by class."""
     width = 2**64 // ranges + 1
 
     def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,17 +148,19 @@ def _gather(blocks: DataFrame, ranges: int, shortlist: int) -> DataFrame:
         back = np.split(total[at], sizes)
         top = np.argsort(-total, kind="stable")[:shortlist]
         top = top[total[top] > 0]
-        bins = bin_of(total)
-        tokens, types = np.bincount(bins, weights=total, minlength=BINS).astype(np.int64), np.bincount(bins, minlength=BINS)
-        n, m = len(vocabs), len(top)
-        none = lambda k: [None] * k
+        cls = class_of(total, terms)
+        tokens, types = np.bincount(cls, weights=total, minlength=CLASSES).astype(np.int64), np.bincount(cls, minlength=CLASSES)
+        used = np.flatnonzero(types)
+        tokens, types = tokens[used], types[used]
+        n, m, k = len(vocabs), len(top), len(used)
+        none = lambda x: [None] * x
         return pa.table(
             {
-                "kind": pa.array([0] * n + [1] * m + [2] * BINS, pa.int32()),
-                "block": pa.array(table.column("block").to_pylist() + none(m + BINS), pa.int64()),
-                "r": pa.array([r] * (n + m + BINS), pa.int32()),
-                "payload": pa.array([_pack(b) for b in back] + none(m + BINS), pa.binary()),
-                "key": pa.array(none(n) + terms[top].view(np.int64).tolist() + list(range(BINS)), pa.int64()),
+                "kind": pa.array([0] * n + [1] * m + [2] * k, pa.int32()),
+                "block": pa.array(table.column("block").to_pylist() + none(m + k), pa.int64()),
+                "r": pa.array([r] * (n + m + k), pa.int32()),
+                "payload": pa.array([_pack(b) for b in back] + none(m + k), pa.binary()),
+                "key": pa.array(none(n) + terms[top].view(np.int64).tolist() + used.tolist(), pa.int64()),
                 "total": pa.array(none(n) + total[top].tolist() + tokens.tolist(), pa.int64()),
                 "types": pa.array(none(n + m) + types.tolist(), pa.int64()),
             }
@@ -152,12 +169,12 @@ def _gather(blocks: DataFrame, ranges: int, shortlist: int) -> DataFrame:
     return cut.groupBy("r").applyInArrow(add, schema)
 
 
-def _classed(blocks: DataFrame, gathered: DataFrame, words: np.ndarray, bin_tokens: np.ndarray, n: int, v: int) -> DataFrame:
+def _classed(blocks: DataFrame, gathered: DataFrame, words: np.ndarray, class_tokens: np.ndarray, n: int, v: int) -> DataFrame:
     """Per block its class sequence, and per document what does not depend on context."""
     schema = "doc_ids array<long>, held array<boolean>, lengths array<int>, n_known array<long>, base array<double>, inner array<double>, classes binary"
     order = np.argsort(words)
     sorted_words, own = words[order], order
-    first_bin = len(words)
+    first = len(words)
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         row = {c: left.column(c)[0].as_py() for c in ("doc_ids", "held", "lengths", "tokens", "vocab")}
@@ -165,9 +182,9 @@ def _classed(blocks: DataFrame, gathered: DataFrame, words: np.ndarray, bin_toke
         parts = sorted(zip(right.column("r").to_pylist(), right.column("payload").to_pylist(), strict=True))
         count = np.concatenate([_unpack(p, np.int64) for _, p in parts])
         base = np.log10((count + 0.1) / (n + 0.1 * (v + 1)))
-        bins = bin_of(count)
-        cls = first_bin + bins
-        inner = np.where(bins > 0, np.log10(np.maximum(count, 1) / np.maximum(bin_tokens[bins], 1)), 0.0)
+        rare = class_of(count, vocab)
+        cls = first + rare
+        inner = np.where(rare > 0, np.log10(np.maximum(count, 1) / np.maximum(class_tokens[rare], 1)), 0.0)
         if len(sorted_words):
             at = np.minimum(np.searchsorted(sorted_words, vocab), len(sorted_words) - 1)
             short = sorted_words[at] == vocab
@@ -255,12 +272,13 @@ class LogBilinear:
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """log10 products of each context position with each class (bias in the first), and log10 normalisers."""
-        a1 = (self.r @ self.c1 @ self.q.T + self.b).astype(np.float64)
-        a2 = (self.r @ self.c2 @ self.q.T).astype(np.float64)
+        a1 = self.r @ self.c1 @ self.q.T + self.b
+        a2 = self.r @ self.c2 @ self.q.T
         m1, m2 = a1.max(axis=1, keepdims=True), a2.max(axis=1, keepdims=True)
-        z = np.log(np.maximum(np.exp(a1 - m1) @ np.exp(a2 - m2).T, 1e-300)) + m1 + m2.T
-        k = 1 / math.log(10)
-        return (a1 * k).astype(np.float32), (a2 * k).astype(np.float32), (z * k).astype(np.float32)
+        z = np.exp(a1 - m1) @ np.exp(a2 - m2).T
+        z = np.log(np.maximum(z, 1e-30)) + m1 + m2.T
+        k = np.float32(1 / math.log(10))
+        return a1 * k, a2 * k, z * k
 
 
 def _contexts(classes: np.ndarray, lengths: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -282,23 +300,25 @@ def score_documents(docs: DataFrame, shortlist: int = SHORTLIST, dim: int = DIME
     blocks = stage(_blocks(docs), "lm-blocks")
     terms = blocks.agg(F.sum("n_terms")).first()[0] or 0
     gathered = stage(_gather(blocks, max(64, -(-terms // RANGE_TERMS)), shortlist), "lm-counts")
-    bins = {b: (tokens, types) for b, tokens, types in gathered.filter("kind = 2").groupBy("key").agg(F.sum("total"), F.sum("types")).collect()}  # BINS rows
+    rare = gathered.filter("kind = 2").groupBy("key").agg(F.sum("total"), F.sum("types")).collect()  # CLASSES rows at most
     top = gathered.filter("kind = 1").select("key", "total").orderBy(F.col("total").desc(), "key").limit(shortlist).collect()
-    n = sum(tokens for tokens, _ in bins.values())
-    v = sum(types for b, (_, types) in bins.items() if b)
+    n = sum(tokens for _, tokens, _ in rare)
+    v = sum(types for c, _, types in rare if c)
     words = np.array([r["key"] for r in top], np.int64).view(np.uint64)
-    bin_tokens = np.array([bins.get(b, (0, 0))[0] for b in range(BINS)], np.float64)
-    for r in top:  # frequent words are out of their bins
-        bin_tokens[int(bin_of(np.array([r["total"]]))[0])] -= r["total"]
-    classed = stage(_classed(blocks, gathered, words, bin_tokens, n, v), "lm-classed")
+    class_tokens = np.zeros(CLASSES)
+    for c, tokens, _ in rare:
+        class_tokens[c] = tokens
+    totals = np.array([r["total"] for r in top], np.int64)
+    np.subtract.at(class_tokens, class_of(totals, words), totals)  # frequent words are classes of their own
+    classed = stage(_classed(blocks, gathered, words, class_tokens, n, v), "lm-classed")
     discard(blocks)
 
-    n_classes = len(words) + BINS
-    first_bin = len(words)
-    # a word seen c times stands for one seen c - 1 times (c up to 3)
+    n_classes, first = len(words) + CLASSES, len(words)
+    # in training a word seen c times stands for one seen c - 1 times (c up to 3)
     moved = np.arange(n_classes)
-    moved[first_bin + 1 : first_bin + 4] -= 1
-    mass = np.concatenate([[float(r["total"]) for r in top], bin_tokens])
+    moved[first + 1 : first + 1 + ENDINGS] = first
+    moved[first + 1 + ENDINGS : first + 1 + 3 * ENDINGS] -= ENDINGS
+    mass = np.concatenate([totals.astype(float), class_tokens])
     seen = np.zeros(n_classes)
     np.add.at(seen, moved, mass)
     log_noise = np.log((seen + 0.5) / (seen + 0.5).sum())
