@@ -81,9 +81,9 @@ def merge_batch(state: dict[str, DataFrame], normalised: DataFrame, source_id: s
 def provenance(domains: DataFrame, domain_sources: DataFrame, sources: DataFrame, public_only: bool = False) -> DataFrame:
     """Each domain with the number and list of its sources; with ``public_only`` only public sources count."""
     used = (public_sources(sources) if public_only else sources).select("source_id")
-    seen = domain_sources.join(used, "source_id").groupBy("domain").agg(
-        F.countDistinct("source_id").alias("source_count"), F.array_join(F.array_sort(F.collect_set("source_id")), ",").alias("sources")
-    )
+    # one pass: the set of a domain's sources gives both their number and the list
+    seen = domain_sources.join(used, "source_id").groupBy("domain").agg(F.array_sort(F.collect_set("source_id")).alias("s"))
+    seen = seen.select("domain", F.size("s").cast("long").alias("source_count"), F.array_join("s", ",").alias("sources"))
     return domains.join(seen, "domain").select("domain", "unicode_domain", "first_seen_at", "last_seen_at", "source_count", "sources")
 
 
