@@ -137,7 +137,9 @@ def place(docs: DataFrame, sources: DataFrame, seed: int = 17, bucket_rows: int
     docs = docs.join(known, docs["source"].eqNullSafe(known["source"])).drop(known["source"])
     key = F.xxhash64("doc_id", F.lit(seed))
     docs = docs.withColumn("key", key)
-    n_buckets = F.greatest(F.lit(1), F.ceil(F.col("source_docs") / bucket_rows)).cast("long")
+    # as many buckets as rows in each, once a source is large: neither the buckets nor the table of buckets outgrows a task
+    rows = F.greatest(F.lit(float(bucket_rows)), F.sqrt("source_docs"))
+    n_buckets = F.greatest(F.lit(1), F.ceil(F.col("source_docs") / rows)).cast("long")
     docs = docs.withColumn("bucket", F.pmod(F.shiftrightunsigned("key", 11), n_buckets))
     inside = Window.partitionBy("source_no", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     sums = docs.groupBy("source_no", "bucket").agg(F.sum("size").alias("n"))
