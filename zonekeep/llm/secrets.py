@@ -41,6 +41,7 @@ _ASSIGNED = re.compile(rf"(?:^|[^\w])([\w.\-]{{0,40}}{KEY_NAME}[\w.\-]{{0,24}})[
 _VALUE = re.compile(r"[=>]?\s{0,4}(?:(?:bearer|basic)\s+)?(?:\"([^\"\n]{4,512})\"|'([^'\n]{4,512})'|([^\s\"'`,;<>(){}\[\]|*#&$%]{4,2048}))", re.IGNORECASE)
 _LONG = re.compile(r"[A-Za-z0-9+/=_\-.]{20,}")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)", re.DOTALL)
+_KNOWN_WORDS = re.compile("|".join(sorted({w for w in COMMON + PLACEHOLDERS if len(w) > 3}, key=lambda w: (-len(w), w))))
 _VOWELS = frozenset("aeiouAEIOU")
 _UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\Z", re.IGNORECASE)
 #: Characters of the neighbourhood on each side that the forest looks at.
@@ -105,14 +106,7 @@ def features(value: str, before: str, after: str, kind: str) -> list[float]:
     low = value.lower()
     kinds = [_kind(c) for c in value]
     letters = [c for c in value if c.isalpha()]
-    covered, at = 0, 0
-    runs = re.findall(r"[a-z]+", low)
-    for run in runs:
-        at = 0
-        while at < len(run):
-            hit = max((len(w) for w in COMMON + PLACEHOLDERS if len(w) > 3 and run.startswith(w, at)), default=0)
-            covered += hit
-            at += max(hit, 1)
+    covered = sum(map(len, _KNOWN_WORDS.findall(low)))
     near = f"{before[-NEAR:]} {after[:NEAR]}"
     longest = longest_run = 1
     for a, b in zip(value, value[1:], strict=False):
@@ -276,7 +270,7 @@ def scan_text(text: str, forest: Forest) -> list[tuple[int, int, str, float]]:
     found = find_candidates(text)
     if not found:
         return []
-    x = np.array([features(text[a:b][:4096], text[max(0, a - 2 * NEAR) : a], text[b : b + 2 * NEAR], k) for a, b, k in found])
+    x = np.array([features(text[a:b], text[max(0, a - 2 * NEAR) : a], text[b : b + 2 * NEAR], k) for a, b, k in found])
     return [(a, b, k, float(s)) for (a, b, k), s in zip(found, forest.score(x), strict=True)]
 
 
