@@ -60,7 +60,7 @@ def lookups(passes: list[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key: one aggregation with map-side combine, no sort."""
+    """The last row of each key: one aggregation with map-side combine, so one row a key and task is moved."""
     rest = [c for c in rows.columns if c not in keys]
     best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("best"))
     return best.select(*keys, *[F.col(f"best.{c}").alias(c) for c in rest])
