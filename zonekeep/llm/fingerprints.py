@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
@@ -136,6 +137,30 @@ def _edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, tie and the compressed text: less than half of the bytes are shuffled."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for part in parts:
+        for begin, end in batches(part.column(2)):
+            texts = part.column(2).slice(begin, end - begin).to_pylist()
+            yield pa.RecordBatch.from_arrays([part.column(0).slice(begin, end - begin), part.column(1).slice(begin, end - begin), pa.array([squeeze(t.encode()) for t in texts], pa.binary())], names=["doc_id", "tie", "packed"])
+
+
+def _unpacked(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and texts of a batch, about ``limit`` bytes of text at a time."""
+    expand = zstandard.ZstdDecompressor().decompress
+    texts, size, begin = [], 0, 0
+    for i, packed in enumerate(batch.column(1)):
+        raw = expand(packed.as_py())
+        if texts and size + len(raw) > limit:
+            yield batch.column(0).slice(begin, len(texts)), texts
+            texts, size, begin = [], 0, i
+        texts.append(raw.decode())
+        size += len(raw)
+    if texts:
+        yield batch.column(0).slice(begin, len(texts)), texts
+
+
 _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 _NAMES = [x.split()[0] for x in _OUT.split(", ")]
 
@@ -157,13 +182,14 @@ def _rows(match: IMatch, ids: pa.Array, texts: list[str], following: list[str],
 def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for ``docs`` (doc_id, text).
 
-    The texts are shuffled once, by ranges of doc_id; a row at the end of a
+    The texts are shuffled once, compressed, by ranges of doc_id; a row at the end of a
     range meets the first row of the next range in a second step.
     """
     bits = lexicon(docs, band)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
+    packed = rows.select("doc_id", "tie", "text").mapInArrow(_pack, "doc_id long, tie long, packed binary")
+    ordered = packed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "packed").select("doc_id", "packed")
     schema = f"kind int, part int, edge_text string, {_OUT}"
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +205,8 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) ->
             return give(kind, [ids, pa.array([len(text)], pa.int64()), none, pa.array([own.astype("<u4").tobytes().hex()], pa.string()), none, pa.array([None], pa.float64()), pa.array([None], pa.float64())], text)
 
         for batch in parts:
-            for begin, end in batches(batch.column(1)):
-                ids, column = batch.column(0).slice(begin, end - begin), batch.column(1).slice(begin, end - begin)
-                texts, own = column.to_pylist(), match.signatures(column)
+            for ids, texts in _unpacked(batch):
+                own = match.signatures(pa.array(texts, pa.large_string()))
                 if held is None:
                     yield edge_row(2, ids.slice(0, 1), texts[0], own[0])
                     now_ids, now_texts, now_own = ids.slice(0, len(texts) - 1), texts[:-1], own[:-1]
