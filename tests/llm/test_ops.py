@@ -329,6 +329,27 @@ def test_near_duplicates(spark, odd, none):
     assert dedup.keep_one(none).count() == 0
 
 
+def test_near_duplicates_in_crowded_buckets(spark):
+    """Texts on one template, 0.74 alike, each with one partner that is 0.81 alike: every pair is found, and no other."""
+    block = lambda name, n: [f"{name}x{i}" for i in range(n)]
+    texts = [" ".join(block("t", 300) + block(f"pair{k // 2}", 16) + block(f"own{k}", 36)) for k in range(500)]
+    got = {r["doc_id"]: r["class_id"] for r in dedup.near_duplicates(table(spark, texts)).collect()}
+    assert got == {k: k - k % 2 for k in range(500)}
+
+
+def test_prefix_join_finds_every_pair(spark):
+    rng = np.random.default_rng(8)
+    sets = {}
+    for node in range(150):
+        base = sets[int(rng.integers(node))] if node and rng.random() < 0.8 else rng.integers(0, 400, 100)
+        sets[node] = np.unique(np.concatenate([rng.permutation(base)[: int(len(base) * rng.uniform(0.8, 1))], rng.integers(0, 400, rng.integers(0, 15))])).astype(np.uint32)
+    held = spark.createDataFrame([(k, k // 3, s.tobytes()) for k, s in sets.items()], "node long, root long, shingles binary")
+    alike = lambda a, b: len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b]))
+    right = {(a, b) for a in sets for b in sets if a < b and a // 3 != b // 3 and alike(a, b) >= 0.8}
+    found = {(r["a"], r["b"]) for r in dedup._remaining(held, 0.8).collect()}
+    assert right and right <= found
+
+
 def test_darts_estimate_weighted_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 400, dtype=np.uint64)

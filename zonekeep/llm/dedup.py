@@ -14,8 +14,10 @@ In each band bucket the members are compared with its smallest and its largest
 node, never all with all, and every pair is verified by the exact Jaccard
 similarity of the two shingle sets.  Nodes that stay apart though they share a
 bucket are dealt anew: leaders drawn from the bucket's still separate components
-are compared with its members, round by round, until no bucket yields a link.  Connected
-components of the links are the classes.
+are compared with its members for a few rounds.  What is apart then is settled
+exactly: over all nodes of the buckets that are still apart, a prefix join finds
+every pair of two components that can be similar enough, and each is verified.
+Connected components of the links are the classes.
 
 Defined results: a null text is an empty text; all texts without words are one
 class; a text of fewer than five words has one shingle, all its words; rows
@@ -39,7 +41,7 @@ from zonekeep.store import discard, stage
 WORDS, SIMILARITY = 5, 0.8
 #: Bands and coordinates of a band: a pair of similarity 0.8 is missed with probability (1 - 0.8^6)^32 = 6e-5.
 BANDS, ROWS = 32, 6
-#: Rounds of leaders at most for buckets that stay apart.
+#: Rounds of leaders at most, before buckets that stay apart are settled by the prefix join.
 ROUNDS = 5
 _U = np.uint64
 _STRIP, _DART = _U(0x9FB21C651E98DF25), _U(0xD6E8FEB86659FD93)
@@ -168,6 +170,43 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _remaining(held: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of different roots in ``held`` (node, root, shingles) that can be similar enough, by an exact prefix join.
+
+    Shingles are ordered by how many sets hold them, those of one root only first.  Two
+    sets that are similar enough have their first common shingle so early in both
+    that the rest can still hold the overlap; the smaller set needs the shorter prefix.
+    """
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for begin in range(0, part.num_rows, 64):
+                piece = part.slice(begin, 64)
+                sets = [np.unique(np.frombuffer(s, np.uint32)) for s in piece.column(2).to_pylist()]
+                size = np.array([len(s) for s in sets], np.int32)
+                at = pa.array(np.repeat(np.arange(len(sets)), size))
+                yield pa.RecordBatch.from_arrays([piece.column(0).take(at), piece.column(1).take(at), pa.array(np.repeat(size, size)), pa.array(np.concatenate(sets).view(np.int32))], names=["node", "root", "size", "token"])
+
+    tokens = held.select("node", "root", "shingles").mapInArrow(run, "node long, root long, size int, token int")
+    # a token of one root only is never common to a pair, and where it stands among its like does not matter
+    common = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token", "n")
+    placed = tokens.join(common, "token").groupBy("node").agg(F.first("root").alias("root"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
+    placed = placed.withColumn("own", F.col("size") - F.size("held"))
+    reach = F.expr(f"size - cast(ceil(size * {similarity!r}D - 1e-6) as int) + 1 - own")
+    prefix = placed.select("node", "root", "size", "own", F.posexplode(F.slice("held", 1, F.greatest(reach, F.lit(0)))).alias("p", "h"))
+    prefix = stage(prefix.select("node", "root", "size", (F.col("own") + F.col("p")).alias("place"), F.col("h.token").alias("token")), "dedup-prefix")
+    # the root with most sets of a token is not met with itself: pairs are 0 other x main, 1 other x other, 2 main x other
+    main = _rescan(prefix).groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1").select("token", "main")
+    prefix = stage(prefix.join(main, "token"), "dedup-meeting-prefix")
+    share = 2 * similarity / (1 + similarity)
+    side = lambda df, names, met: df.select("token", F.explode(met).alias("met"), *[F.col(c).alias(n) for c, n in zip(("node", "root", "size", "place"), names, strict=True)])
+    small = side(prefix.filter(f"place <= size - ceil(size * {share!r}D - 1e-6)"), ("a", "a_root", "a_size", "i"), F.expr("if(root = main, array(2), array(0, 1))"))
+    large = side(_rescan(prefix), ("b", "b_root", "b_size", "j"), F.expr("if(root = main, array(0), array(1, 2))"))
+    fits = f"a_root <> b_root and a_size <= b_size and a_size >= b_size * {similarity!r}D - 1e-6 and least(a_size - i, b_size - j) >= (a_size + b_size) * {share / 2!r}D - 1e-6"
+    pairs = small.join(large, ["token", "met"]).filter(fits)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
     """doc_id, row_key, root for ``docs`` (doc_id, text), a row for each row, as a staged table.
 
@@ -187,21 +226,27 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
 
     tried = None
     roots = stage(meeting.select("node", "degree", F.col("node").alias("root")), "dedup-roots")
-    for turn in range(ROUNDS):
+    for turn in range(ROUNDS + 1):
         member = buckets.select("key", "node").join(roots, "node")
         if turn:  # only buckets whose members are still apart
             apart = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
             member = stage(member.join(apart, "key", "left_semi"), "dedup-apart")
+            if member.isEmpty():
+                break
             member = _rescan(member)
-        if turn:  # a member, and a component (few stragglers beside a large component are drawn as soon as it), by hash
-            draws = [F.xxhash64("node", F.lit(turn)), F.xxhash64("root", F.lit(turn))]
-        else:  # the member that meets most others, and any other
-            draws = [-F.col("degree"), F.xxhash64("node")]
-        leaders = member.groupBy("key").agg(*[F.min_by(c, r).alias(f"{c}{j}") for j, r in enumerate(draws) for c in ("node", "root")])
-        heads = F.array_distinct(F.array(*[F.struct(F.col(f"node{j}").alias("b"), F.col(f"root{j}").alias("b_root")) for j in range(len(draws))]))
-        # staged, so that a bucket of many members can be split in the join
-        pairs = member.join(stage(leaders, "dedup-leaders"), "key").select("node", "root", F.explode(heads).alias("h"))
-        pairs = pairs.filter("root <> h.b_root").select(F.least("node", "h.b").alias("a"), F.greatest("node", "h.b").alias("b")).distinct()
+        if turn == ROUNDS:  # all pairs that are left
+            held = stage(sets.join(member.select("node", "root").distinct(), "node"), "dedup-held")
+            pairs = _remaining(held, similarity)
+        else:
+            if turn:  # a member, and a component (few stragglers beside a large component are drawn as soon as it), by hash
+                draws = [F.xxhash64("node", F.lit(turn)), F.xxhash64("root", F.lit(turn))]
+            else:  # the member that meets most others, and any other
+                draws = [-F.col("degree"), F.xxhash64("node")]
+            leaders = member.groupBy("key").agg(*[F.min_by(c, r).alias(f"{c}{j}") for j, r in enumerate(draws) for c in ("node", "root")])
+            heads = F.array_distinct(F.array(*[F.struct(F.col(f"node{j}").alias("b"), F.col(f"root{j}").alias("b_root")) for j in range(len(draws))]))
+            # staged, so that a bucket of many members can be split in the join
+            pairs = member.join(stage(leaders, "dedup-leaders"), "key").select("node", "root", F.explode(heads).alias("h"))
+            pairs = pairs.filter("root <> h.b_root").select(F.least("node", "h.b").alias("a"), F.greatest("node", "h.b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "dedup-pairs")
@@ -211,8 +256,6 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
         edges = links.join(roots.drop("degree").withColumnRenamed("node", "a").withColumnRenamed("root", "x"), "a").join(old.drop("degree").withColumnRenamed("node", "b").withColumnRenamed("root", "y"), "b")
         edges = stage(edges.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "dedup-edges")
         if edges.isEmpty():
-            if turn > 1:
-                break
             continue
         merged = connected(edges, "dedup").select(F.col("node").alias("root"), F.col("root").alias("new"))
         roots = stage(_rescan(roots).join(merged, "root", "left").select("node", "degree", F.coalesce("new", "root").alias("root")), "dedup-roots")
