@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -213,6 +214,34 @@ def test_scan(spark, odd, none):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
 
 
+@pytest.mark.parametrize(
+    ("before", "value", "after"),
+    [
+        ("token=", "aB3x9Q" * 500, " the"),
+        ('secret = "', "aB3$" * 200, '" the'),
+        ("secret = '", "k7!Rw " * 100 + "Zq9", "' the"),
+        ("token:" + " " * 12, "9f8a7d6c5b4a39281706f5e4d3c2b1a0", "\n"),
+        ("password=", "Tr0ub4dor&3xyz", " the"),
+        ("password=", "pa$$w0rd!9xQ", "### the"),
+        ("(password=", "k(9)Z*x#4{q}|W;7", ") the"),
+        ("x?a=1&token=", "9f8a7d6c5b4a3928", "&user=bob the"),
+        ("password=", "x7'Kq\"9Lm,2Zt", ", the"),
+    ],
+)
+def test_whole_values_are_found(before, value, after):
+    text = f"an {before}{value}{after}"
+    at = 3 + len(before)
+    assert [x for x in secrets.find_candidates(text) if x[2] == "assigned"] == [(at, at + len(value), "assigned")]
+    assert [x for x in secrets.scan_text(text, secrets.train(secrets.labelled_findings())) if x[3] >= secrets.THRESHOLD][0][:2] == (at, at + len(value))
+
+
+def test_values_of_one_word_take_linear_time():
+    started = time.monotonic()
+    for text in ("token=" * 50_000, "?token=" * 50_000, "&token=a" * 50_000, 'token="' * 50_000, "token=" + ")" * 1_000_000, "token=" + "," * 1_000_000):
+        secrets.find_candidates(text)
+    assert time.monotonic() - started < 60
+
+
 # ---- 5 chat ----
 
 

@@ -38,7 +38,14 @@ COMMON = tuple(
     "the and for that with this from are was not but have has had they you all can her his one our out day get him how man new now old see two way who boy did its let put say she too use about after again also been before being between both came come could each even first found give good great hand here home house into just know large last life like line little long look made make many more most much must name never number only other over part people place right same should small some still such take tell than their them then there these thing think time turn under until very want water well went were what when where which while will word work world would write year main data file user login server client config index value table query model image report order account service system public private admin local global source target string format request response session update create delete select".split()
 )
 _ASSIGNED = re.compile(rf"(?:^|[^\w])([\w.\-]{{0,40}}{KEY_NAME}[\w.\-]{{0,24}})[\"'\])]*\s*$", re.IGNORECASE)
-_VALUE = re.compile(r"[=>]?\s{0,4}(?:(?:bearer|basic)\s+)?(?:\"([^\"\n]{4,512})\"|'([^'\n]{4,512})'|([^\s\"'`,;<>(){}\[\]|*#&$%]{4,2048}))", re.IGNORECASE)
+_LEAD = re.compile(r"[=>]?\s*+(?:(?:bearer|basic)\s++)?", re.IGNORECASE)
+_QUOTED = re.compile(r"\"([^\"\n]{4,}+)\"|'([^'\n]{4,}+)'")
+# a value without quotes goes to the next blank, or to a quote that closes something around it
+_OPEN = re.compile(r"(?:[^\s\"'`]++|[\"'`](?![\s,;:)\]}>&]|\Z))*+")
+_SEPARATOR = re.compile(r"[&#]")
+# marks of lists and of markup after a value
+_AFTER = re.compile(r"(?:[,;]|###+|%%%+|\*\*\*+)\Z")
+_MARK = re.compile("[=:]")
 _LONG = re.compile(r"[A-Za-z0-9+/=_\-.]{20,}")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)", re.DOTALL)
 _KNOWN_WORDS = re.compile("|".join(sorted({w for w in COMMON + PLACEHOLDERS if len(w) > 3}, key=lambda w: (-len(w), w))))
@@ -56,14 +63,26 @@ def find_candidates(text: str) -> list[tuple[int, int, str]]:
     found: list[tuple[int, int, str]] = []
     if "-----BEGIN" in text:
         found += [(m.start(), m.end(), "block") for m in _BLOCK.finditer(text)]
-    for mark in "=:":
-        at = text.find(mark)
-        while at >= 0:
-            if _ASSIGNED.search(text, max(0, at - 72), at) and (m := _VALUE.match(text, at + 1)):
-                g = m.lastindex
-                if m[g].strip():
-                    found.append((m.start(g), m.end(g), "assigned"))
-            at = text.find(mark, at + 1)
+    unquoted, end, part = set(), 0, 0
+    for mark in _MARK.finditer(text):
+        if not (name := _ASSIGNED.search(text, max(0, mark.start() - 72), mark.start())):
+            continue
+        at = _LEAD.match(text, mark.end()).end()
+        if m := _QUOTED.match(text, at):
+            if m[m.lastindex].strip():
+                found.append((*m.span(m.lastindex), "assigned"))
+            continue
+        at += text[at : at + 1] in ("\"", "'", "`")
+        if at >= end:  # values that start in one word end where it ends
+            end, part = _OPEN.match(text, at).end(), 0
+        stop = end
+        if text[max(0, name.start(1) - 1) : name.start(1)] in ("?", "&"):  # in a query string the next separator ends it
+            if at >= part:
+                part = m.start() if (m := _SEPARATOR.search(text, at, end)) else end
+            stop = part
+        if stop - at >= 4:
+            found.append((at, stop, "assigned"))
+            unquoted.add((at, stop))
     for begin in BEGINNINGS:
         at = text.find(begin)
         while at >= 0:
@@ -92,10 +111,29 @@ def find_candidates(text: str) -> list[tuple[int, int, str]]:
             if one[0] >= last and one[1] <= ahead[0]:
                 taken.append(one)
                 last = one[1]
+        if not long:
+            taken = [one if one[:2] not in unquoted else (one[0], _trimmed(text, *one[:2]), one[2]) for one in taken]
+            taken = [one for one in taken if one[2] != "assigned" or one[1] - one[0] >= 4]
         kept = sorted(kept + taken)
     return kept
 
 
+def _trimmed(text: str, start: int, end: int) -> int:
+    """The end of a value without quotes, before separators, markup and brackets that close what was opened before it."""
+    value = text[start:end]
+    spare = {c: value.count(c) - value.count(o) for o, c in ("()", "[]", "{}", "<>")}
+    while end > start:
+        last = text[end - 1]
+        if spare.get(last, 0) > 0:
+            spare[last] -= 1
+            end -= 1
+        elif m := _AFTER.search(text[max(start, end - 64) : end]):
+            end -= len(m[0])
+        else:
+            break
+    return end
+
+
 def _kind(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
@@ -217,7 +255,7 @@ def labelled_findings(n: int = 4000, seed: int = 3) -> list[tuple[str, str, str,
                 else draw(alnum, rng.randint(10, 48)) if way == 2
                 else base64.b64encode(rng.randbytes(rng.randint(12, 48))).decode() if way == 3
                 else rng.choice(BEGINNINGS) + draw(alnum, rng.randint(16, 40)) if way == 4
-                else draw(alnum + "!@^-_.", rng.randint(8, 24)) if way == 5
+                else draw(alnum + "!@^-_.*#&$%|;<>(){}[]", rng.randint(8, 24)) if way == 5
                 else draw("abcdefghijklmnopqrstuvwxyz0123456789", rng.randint(12, 40))
             )
             if rng.random() < 0.1:
@@ -254,7 +292,7 @@ def labelled_findings(n: int = 4000, seed: int = 3) -> list[tuple[str, str, str,
                 value = f"{word()}.{word()}.{rng.randint(1, 99)}@{word()}.example.com"
                 before = f"{prose()} "
             else:
-                value, kind = rng.choice(["os.environ", "get_secret()", "config.token", "process.env.TOKEN", "args.password", "self.password", "getpass.getpass"]), "assigned"
+                value, kind = rng.choice(["os.environ", "get_secret()", "config.token", "process.env.TOKEN", "args.password", "self.password", "getpass.getpass", "getpass.getpass()", "${TOKEN}", "$PASSWORD", "{{secret}}", "%(password)s", "os.environ['TOKEN']", "<password>"]), "assigned"
                 before = f"{prose()} {rng.choice(names)} = "
         out.append((value, before, after, kind, int(secret)))
     return out
