@@ -483,10 +483,53 @@ def test_language_model(spark, odd, none):
     assert alone["held_out"] and alone["train_tokens"] == 0 and alone["score"] == 0.0
 
 
-def test_probabilities_sum_to_one():
-    model = lm.LogBilinear(12, 4, np.log(np.full(12, 1 / 12)))
-    rng = np.random.default_rng(0)
-    model.train(rng.integers(0, 12, 2000), rng.integers(0, 13, 2000), rng.integers(0, 13, 2000), np.log(np.full(12, 1 / 12)), 0.1, rng)
-    a1, a2, z = model.tables()
-    for near, far in ((0, 12), (12, 12), (3, 7)):
-        assert (10.0 ** (a1[near] + a2[far] - z[near, far])).sum() == pytest.approx(1, abs=1e-3)
+def test_scores_equal_a_full_softmax(spark):
+    """Every probability from the definition: a softmax over all outputs after each pair of contexts, times the word's share of its class."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(WORDS) if rng.random() < 0.8 else f"rare{rng.randrange(400)}" for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    docs = table(spark, texts)
+    known, model, z, _ = lm.fit(docs, growth=0.5, contexts=20)
+    assert 20 < len(known.words) < len(WORDS)  # some words are contexts of their own, some predicted one by one, the others classed
+    score = {r["doc_id"]: r["score"] for r in lm.score_documents(docs, growth=0.5, contexts=20).collect()}
+    again = {r["doc_id"]: r["score"] for r in lm.score_documents(docs, growth=0.5, contexts=20).collect()}
+    assert score == again
+
+    def terms(text):
+        data, offs = words.text_buffer(pa.array([text]))
+        starts, ends, _ = words.word_spans(data, offs)
+        return np.append(words.word_hashes(data, starts, ends) & ~np.uint64(63) | lm.ending_of(data, starts, ends).astype(np.uint64), lm.END_HASH)
+
+    count = Counter(t for i, x in enumerate(texts) if zlib.crc32(str(i).encode()) % 10 for t in terms(x).tolist())
+    vocab = np.array(sorted(count), np.uint64)
+    out, inner = known.outputs(vocab, np.array([count[t] for t in vocab.tolist()]))
+    g1, g2 = model.sides()
+
+    def after(near, far):
+        logits = ((g1[near] + g2[far]) @ model.q.T + model.b).astype(np.float64)
+        p = np.exp(logits - logits.max())
+        return p / p.sum()
+
+    start, unseen = known.n_contexts, len(known.words)
+    for near, far in ((start, start), (0, start), (3, 7)):
+        p = after(near, far)
+        assert (p[out] * 10.0**inner).sum() + p[unseen] + p[sorted(set(range(unseen + 1, known.size)) - set(out.tolist()))].sum() == pytest.approx(1, abs=1e-6)
+    for i in range(0, 300, 23):
+        t = terms(texts[i])
+        o, share = known.outputs(t, np.array([count[x] for x in t.tolist()]))
+        near = far = start
+        want = 0.0
+        for k, s in zip(o.tolist(), share.tolist(), strict=True):
+            want += math.log10(after(near, far)[k]) + s
+            near, far = int(known.context_of[k]), near
+        assert score[i] == pytest.approx(want, abs=2e-3)
+
+
+def test_words_of_their_own_follow_the_corpus(spark):
+    sizes = []
+    for n in (100, 1600):
+        rng = random.Random(n)
+        texts = [" ".join(f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(40)) for _ in range(n)]
+        known = lm.fit(table(spark, texts), rounds=0)[0]
+        assert len(known.words) <= 4 * math.sqrt(known.n) and known.totals.min() >= lm.LEAST_COUNT
+        sizes.append(len(known.words))
+    assert sizes[1] > 2.5 * sizes[0]
