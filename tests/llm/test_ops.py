@@ -458,6 +458,59 @@ def test_fingerprints(spark, odd, none):
     assert one[0]["edited_sha256"] == hashlib.sha256(b"abab").hexdigest()
 
 
+def test_fingerprints_equal_brute_force(spark):
+    """Exact document frequencies, sets of terms under each fixed sub-lexicon, and both likenesses, in plain Python."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["Common", *WORDS]) if rng.random() < 0.4 else f"t{int(rng.paretovariate(0.5)) % 3000}" for _ in range(rng.choice([0, 1, 3, 30, 300]))) for _ in range(120)]
+    texts[7] = texts[6]
+    band = (0.02, 0.3)
+    got = sorted(fingerprints.fingerprint_documents(table(spark, texts), band).collect(), key=lambda r: r["doc_id"])
+    number = {}
+
+    def term(word):
+        if word not in number:
+            data, offs = words.text_buffer(pa.array([word]))
+            number[word] = int(words.word_hashes(data, *words.word_spans(data, offs)[:2])[0])
+        return number[word]
+
+    terms = lambda text: {term(w) for w in text.lower().split()}
+    seen = Counter(t for x in texts for t in terms(x))
+    held = {t for t, n in seen.items() if band[0] * len(texts) <= n <= band[1] * len(texts)}
+    assert sorted(held) == fingerprints.lexicon(table(spark, texts), band).tolist() and 20 < len(held) < len(seen)
+
+    def mixed(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 % 2**64
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB % 2**64
+        return x ^ x >> 31
+
+    def under(text):
+        own = terms(text)
+        own = own & held or own
+        salt = [int(x) for x in fingerprints._SALTS]
+        return [frozenset(t for t in own if mixed(t ^ salt[f]) < 4 ** (32 - d)) for f in range(fingerprints.FAMILIES) for d in fingerprints.DENSITIES]
+
+    def likeness(a, b):
+        if not any(a) and not any(b):
+            return 1.0
+        some = [(x, y, k % len(fingerprints.DENSITIES)) for k, (x, y) in enumerate(zip(a, b, strict=True)) if x or y]
+        few = [(x, y) for x, y, _ in some if max(len(x), len(y)) <= fingerprints.FEW]
+        few = few or [(x, y) for x, y, d in some if d == max(z for _, _, z in some)]
+        return sum(x == y for x, y in few) / len(few)
+
+    sets = [under(t) for t in texts]
+    for i, r in enumerate(got):
+        j = (i + 1) % len(texts)
+        half = len(texts[i]) // 2
+        assert r["near_next"] == pytest.approx(likeness(sets[i], sets[j]))
+        assert r["near_edited"] == pytest.approx(likeness(sets[i], under(texts[i][: len(texts[i]) - half] + texts[j][:half])))
+        read = fingerprints.IMatch.read(r["fingerprint"])
+        assert [int(x) >> 20 for x in read] == [min(len(x), 15) for x in sets[i]]
+        assert fingerprints.IMatch.show(read[None]) == [r["fingerprint"]]
+    assert got[6]["fingerprint"] == got[7]["fingerprint"] and got[6]["near_next"] == 1.0
+
+
 # ---- 10 language model ----
 
 

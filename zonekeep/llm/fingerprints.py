@@ -1,17 +1,24 @@
 """Document fingerprints by I-Match over randomised lexicons.
 
-Terms are lower-cased words.  Document frequencies of all terms over all
-documents are counted in a table of fixed size (2^20 hashed counters; the
-terms of a document are distinct, so what collisions add to a counter is a
-fixed share of the number of documents at any size of table).  The lexicon
-keeps the terms within a band of inverse document frequency.  Each of FAMILIES chains of
-random subsets of the lexicon halves it again and again; a text uses, of each
-chain, the smallest subset that still holds one of its terms, and its
-fingerprint has the number of that subset and the hash of the sorted distinct
-terms of the text in it.  So a text of any length has subsets of one or a few
-of its terms, which outlive an edit elsewhere in the text.
-
-Likeness of two fingerprints is the share of chains that agree.
+Terms are lower-cased words.  The document frequency of every term over all
+documents is counted exactly, and the lexicon keeps the terms within a band of
+inverse document frequency.  FAMILIES x len(DENSITIES) randomised sub-lexicons
+are fixed, the same for every document: sub-lexicon (f, d) holds each lexicon
+term with probability 4^-d, by a seeded hash of the term.  Under each of them
+the sorted distinct terms of a text that the sub-lexicon holds are hashed; where
+it holds none, the text has no hash there.  The sparse ones keep a few terms of
+a long text, which outlive an edit elsewhere in it; the dense ones keep a few
+terms of a short text, and change with any edit of a long one.
+
+A fingerprint lists for each sub-lexicon with terms its number, how many terms
+it has (15 at most) and their hash.  Likeness of two fingerprints is the share
+of equal hashes under the sub-lexicons that hold FEW terms of either at most,
+and a term of one at least; where there are none, under the sparsest that hold
+a term.  So it is 1 for equal texts, and near the share of terms in common.
+
+The band bounds the lexicon: every term in it is in band[0] of all documents at
+least, so there are no more of them than the mean number of distinct terms of a
+document divided by band[0], however many documents there are.
 
 Defined results: a null text is an empty text; a text without lexicon terms is
 fingerprinted by all its terms; a text without words has the fingerprint
@@ -22,24 +29,27 @@ doc_id (null first) and then of text, so repeated ids are allowed.
 from __future__ import annotations
 
 import hashlib
+from base64 import b64decode, b64encode
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from zonekeep.llm.words import LOWER_ASCII, batches, mix, text_buffer, word_hashes, word_spans
 from zonekeep.store import stage
 
-COUNTERS = 1 << 20
 #: The band of document frequency, as shares of all documents, that the lexicon keeps.
 BAND = (5e-4, 1e-1)
-FAMILIES = 24
+#: Families of sub-lexicons, and in each the powers of 1/4 with which it holds a term.
+FAMILIES, DENSITIES = 28, range(9)
+#: Terms of a text under a sub-lexicon up to which it counts for likeness.
+FEW = 3
 _U = np.uint64
-_SALTS = mix(np.arange(1, 2 * FAMILIES + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+_SALTS = mix(np.arange(1, FAMILIES + 2, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 
 
 def distinct_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -56,80 +66,89 @@ def distinct_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return text[fresh], terms[fresh]
 
 
-def count_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """slot, n: documents that hold a term of each counter; slot -1 counts all documents."""
+def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
+    """term, n: the number of documents that hold each term."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(COUNTERS, np.int64), 0
         for part in parts:
-            column = part.column(0)
-            n += part.num_rows
-            for begin, end in batches(column):
-                at, terms = distinct_terms(column.slice(begin, end - begin))
-                slots = (terms & _U(COUNTERS - 1)).astype(np.int64)
-                slots = np.unique(at << 20 | slots) & (COUNTERS - 1)
-                counts += np.bincount(slots, minlength=COUNTERS)
-        some = np.flatnonzero(counts)
-        for a in range(0, len(some), 65536):
-            yield pa.RecordBatch.from_arrays([pa.array(some[a : a + 65536], pa.int32()), pa.array(counts[some[a : a + 65536]], pa.int64())], names=["slot", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([n], pa.int64())], names=["slot", "n"])
-
-    return docs.select(text).mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-
-
-def lexicon(docs: DataFrame, band: tuple[float, float] = BAND, text: str = "text") -> bytes:
-    """One bit for each counter: whether its terms are in the band.  128 KB, whatever the input."""
-    counts = stage(count_documents(docs, text), "imatch-counts")
-    total = counts.filter("slot = -1").agg(F.sum("n")).first()[0] or 0
-    inside = counts.filter((F.col("slot") >= 0) & (F.col("n") >= F.lit(band[0] * total)) & (F.col("n") <= F.lit(max(band[1] * total, 1.0))))
-    # packed where the rows are: one row of at most 1024 bytes for each 8192 counters
-    words = inside.groupBy(F.floor(F.col("slot") / 32).alias("word")).agg(F.sum(F.expr("shiftleft(1L, slot % 32)")).alias("bits"))
-    bits = np.zeros(COUNTERS // 32, np.uint32)
-    for word, value in words.collect():  # COUNTERS / 32 rows at most
-        bits[word] = value
-    return bits.tobytes()
+            for begin, end in batches(part.column(0)):  # counted by batch, then added up
+                terms, n = np.unique(distinct_terms(part.column(0).slice(begin, end - begin))[1], return_counts=True)
+                for a in range(0, len(terms), 65536):
+                    yield pa.RecordBatch.from_arrays([pa.array(terms[a : a + 65536].view(np.int64)), pa.array(n[a : a + 65536])], names=["term", "n"])
+
+    return docs.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def lexicon(docs: DataFrame, band: tuple[float, float] = BAND, text: str = "text") -> np.ndarray:
+    """The sorted hashes of the terms in the band; see above for the bound of their number."""
+    total = docs.count()
+    inside = document_frequencies(docs, text).filter((F.col("n") >= F.lit(band[0] * total)) & (F.col("n") <= F.lit(max(band[1] * total, 1.0))))
+    return np.sort(inside.select("term").toPandas()["term"].to_numpy(np.int64).view(np.uint64))
 
 
 class IMatch:
     """Fingerprints under one lexicon."""
 
-    def __init__(self, bits: bytes):
-        self.inside = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+
+    def _inside(self, terms: np.ndarray) -> np.ndarray:
+        if not len(self.terms):
+            return np.zeros(len(terms), bool)
+        return self.terms[np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)] == terms
 
     def signatures(self, texts: pa.Array) -> np.ndarray:
-        """Subset number and hash in one 24-bit value for each text and chain, zero for a text without words."""
+        """For each text and sub-lexicon the number of its terms and 20 bits of their hash in one value, zero for no term."""
         n = len(texts)
-        out = np.zeros((n, FAMILIES), np.uint32)
+        out = np.zeros((n, FAMILIES, len(DENSITIES)), np.uint32)
         for begin, end in batches(texts):
             at, terms = distinct_terms(texts.slice(begin, end - begin))
-            inside = self.inside[(terms & _U(COUNTERS - 1)).astype(np.int64)]
+            inside = self._inside(terms)
             have = np.zeros(end - begin, bool)
             have[at[inside]] = True
             inside |= ~have[at]
             at, terms = at[inside], terms[inside]
-            if not len(terms):
-                continue
-            first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            rows = at[first]
-            run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))
+            hashes = mix(terms ^ _SALTS[FAMILIES])
             for f in range(FAMILIES):
-                # the number of leading zeros of a draw says in how many subsets of the chain a term is
-                level = (64 - np.frexp(mix(terms ^ _SALTS[2 * f]).astype(np.float64))[1]).astype(np.uint8)
-                last = np.maximum.reduceat(level, first)
-                top = np.flatnonzero(level == last[run])
-                sums = np.zeros(len(first), np.uint64)
-                np.add.at(sums, run[top], mix(terms[top] ^ _SALTS[2 * f + 1]))  # terms are sorted and distinct
-                out[begin + rows, f] = (last.astype(np.uint32) + 1) << 16 | (mix(sums) >> _U(48)).astype(np.uint32)
-        return out
+                # two leading zeros more of a draw: in the next sub-lexicon too, which holds a quarter
+                level = (64 - np.frexp(mix(terms ^ _SALTS[f]).astype(np.float64))[1]) >> 1
+                left, where = np.arange(len(terms)), at
+                for d in DENSITIES:
+                    if d:
+                        keep = level[left] >= d
+                        left, where = left[keep], where[keep]
+                    if not len(left):
+                        break
+                    first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
+                    held = np.minimum(np.diff(np.append(first, len(where))), 15).astype(np.uint32)
+                    # terms are sorted and distinct, so equal sets of terms have equal sums
+                    sums = mix(np.add.reduceat(hashes[left], first) + _U(f * 16 + d))
+                    out[begin + where[first], f, d] = held << 20 | (sums >> _U(44)).astype(np.uint32)
+        return out.reshape(n, -1)
 
     @staticmethod
     def show(signatures: np.ndarray) -> list[str]:
-        empty = ~signatures.any(axis=1)
-        return ["-" if e else row.tobytes().hex() for row, e in zip(signatures.astype(">u4"), empty, strict=True)]
+        """Base 64 of four bytes for each sub-lexicon with terms: its number, how many terms, and their hash."""
+        numbered = signatures | np.arange(signatures.shape[1], dtype=np.uint32) << 24
+        return [b64encode(row[some].astype(">u4").tobytes()).decode() or "-" for row, some in zip(numbered, signatures > 0, strict=True)]
+
+    @staticmethod
+    def read(fingerprint: str) -> np.ndarray:
+        row = np.zeros(FAMILIES * len(DENSITIES), np.uint32)
+        some = np.frombuffer(b64decode(fingerprint), ">u4").astype(np.uint32) if fingerprint != "-" else row[:0]
+        row[some >> 24] = some & 0xFFFFFF
+        return row
 
     @staticmethod
     def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (a == b).mean(axis=1)
+        most = np.maximum(a, b) >> 20
+        some = most > 0
+        density = np.tile(np.arange(len(DENSITIES)), FAMILIES)
+        counted = some & (most <= FEW)
+        sparsest = np.where(some, density, -1).max(axis=1, initial=-1)
+        counted |= some & (density == sparsest[:, None]) & ~counted.any(axis=1)[:, None]
+        n = counted.sum(axis=1)
+        return np.where(n > 0, ((a == b) & counted).sum(axis=1) / np.maximum(n, 1), (~some.any(axis=1)).astype(float))
 
 
 def _edited(text: str, following: str) -> str:
@@ -182,11 +201,11 @@ def _rows(match: IMatch, ids: pa.Array, texts: list[str], following: list[str],
 def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for ``docs`` (doc_id, text).
 
-    The texts are shuffled once, compressed, by ranges of doc_id; a row at the end of a
-    range meets the first row of the next range in a second step.
+    The texts are shuffled once, compressed, by ranges of doc_id; the row at the end of a
+    range meets the first row of the next range that has rows in a second step.
     """
-    bits = lexicon(docs, band)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(lexicon(docs, band))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     packed = rows.select("doc_id", "tie", "text").mapInArrow(_pack, "doc_id long, tie long, packed binary")
     ordered = packed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "packed").select("doc_id", "packed")
@@ -202,7 +221,7 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) ->
 
         def edge_row(kind: int, ids: pa.Array, text: str, own: np.ndarray) -> pa.RecordBatch:
             none = pa.array([None], pa.string())
-            return give(kind, [ids, pa.array([len(text)], pa.int64()), none, pa.array([own.astype("<u4").tobytes().hex()], pa.string()), none, pa.array([None], pa.float64()), pa.array([None], pa.float64())], text)
+            return give(kind, [ids, pa.array([len(text)], pa.int64()), none, pa.array(match.show(own[None]), pa.string()), none, pa.array([None], pa.float64()), pa.array([None], pa.float64())], text)
 
         for batch in parts:
             for ids, texts in _unpacked(batch):
@@ -222,18 +241,20 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) ->
             yield edge_row(1, *held)
 
     found = stage(ordered.mapInArrow(run, schema), "imatch-rows")
-    line = Window.partitionBy(F.lit(0)).orderBy("part")  # one row of each kind for each range
-    heads = found.filter("kind = 2").select((F.row_number().over(line) - 1).alias("at"), F.col("edge_text").alias("next_text"), F.col("fingerprint").alias("next_own"))
-    tails = found.filter("kind = 1").select(F.row_number().over(line).alias("k"), F.count("*").over(Window.partitionBy(F.lit(0))).alias("n"), "doc_id", "edge_text", "fingerprint")
-    edges = tails.withColumn("at", (F.col("k") % F.col("n")).cast("int")).join(heads, "at").select("doc_id", "edge_text", "fingerprint", "next_text", "next_own")
+    # the next range that has rows; only the numbers of the ranges are on the driver, the edges meet by a join
+    ranges = sorted(r[0] for r in found.filter("kind = 2").select("part").collect())
+    after = spark.createDataFrame(list(zip(ranges, ranges[1:] + ranges[:1], strict=True)), "part int, next_part int")
+    again = spark.read.schema(found.schema).parquet(found._staged_at)
+    heads = again.filter("kind = 2").select(F.col("part").alias("next_part"), F.col("edge_text").alias("next_text"), F.col("fingerprint").alias("next_own"))
+    tails = found.filter("kind = 1").select("part", "doc_id", "edge_text", "fingerprint")
+    edges = tails.join(after, "part").join(heads, "next_part").select("doc_id", "edge_text", "fingerprint", "next_text", "next_own")
 
     def finish(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = IMatch(shared.value)
-        vector = lambda x: np.frombuffer(bytes.fromhex(x), "<u4").astype(np.uint32)
         for batch in parts:
             for i in range(batch.num_rows):
                 ids = batch.column(0).slice(i, 1)
                 text, own, following, after = (batch.column(c)[i].as_py() for c in range(1, 5))
-                yield pa.RecordBatch.from_arrays(_rows(match, ids, [text], [following], vector(own)[None], vector(after)[None]), names=_NAMES)
+                yield pa.RecordBatch.from_arrays(_rows(match, ids, [text], [following], match.read(own)[None], match.read(after)[None]), names=_NAMES)
 
     return found.filter("kind = 0").select(*_NAMES).unionByName(edges.mapInArrow(finish, _OUT))
