@@ -161,6 +161,7 @@ def test_topk(spark):
     rows += [(1000 + i, rows[0][1]) for i in range(60)]  # one very common vector
     rows += [(2000, None), (2100, [1.0, None] + [0.0] * 6), (2200, [float("nan")] * 8), (2300, [1.0]), (2301, [2.0]), (None, rows[5][1])]
     assert run_topk(spark, rows, block_least=64, group=4) == brute_topk(rows)
+    assert run_topk(spark, rows) == brute_topk(rows)
 
 
 def test_topk_few_and_none(spark):
@@ -173,15 +174,46 @@ def test_topk_few_and_none(spark):
     assert run_topk(spark, wide)[0][0] == (1, min(2 * 2**40 * 2**39, 2**63 - 1))
 
 
-def test_cover_tree_covers():
-    x = np.random.default_rng(3).standard_normal((500, 4))
-    seen, stack = [], [topk.CoverTree(x, np.arange(500), 0)]
+def test_cover_tree_covers_and_separates():
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.standard_normal((40, 6)) * 10, 30, axis=0) + 0.01 * rng.standard_normal((1200, 6))
+    leaves, inner, stack = [], 0, [topk.CoverTree(x, np.arange(len(x)), 0)]
     while stack:
         node = stack.pop()
         assert np.linalg.norm(x[node.rows] - x[node.centre], axis=1).max() <= node.radius + 1e-9
-        seen += node.singles.tolist()
+        if not node.children:
+            leaves += node.rows.tolist()
+            continue
+        inner += 1
+        reach = topk.BASE ** (node.level - 1)
+        assert node.radius <= topk.BASE**node.level * (1 + 1e-9) and node.children[0].centre == node.centre
+        heads = x[node.centres]
+        apart = np.linalg.norm(heads[:, None] - heads[None, :], axis=2)[np.triu_indices(len(heads), 1)]
+        assert len(heads) == 1 or apart.min() > reach
+        assert all(c.level is None or c.level < node.level for c in node.children)
+        assert sorted(r for c in node.children for r in c.rows.tolist()) == sorted(node.rows.tolist())
         stack += node.children
-    assert sorted(seen) == list(range(500))
+    assert sorted(leaves) == list(range(len(x))) and inner > 5
+
+
+def test_dual_descent_prunes_pairs_of_nodes():
+    rng = np.random.default_rng(4)
+    centres = rng.integers(-4000, 4000, (60, 16))
+    data = (np.repeat(centres, 100, axis=0) + rng.integers(-40, 40, (6000, 16))).astype(np.int64)
+    asked = (np.repeat(centres[:30], 10, axis=0) + rng.integers(-40, 40, (300, 16))).astype(np.int64)
+    search = topk.Search(data, np.arange(6000), np.ones(6000, int), 10)
+    scores, ids = search.best(asked, np.full(300, -1), np.full(300, -np.inf))
+    full = asked @ data.T
+    for row in range(300):
+        order = np.lexsort((np.arange(6000), -full[row]))[:10]
+        assert ids[row].tolist() == order.tolist() and scores[row].tolist() == full[row][order].tolist()
+    assert search.scored < 0.1 * full.size
+
+
+def test_cover_trees_of_scattered_points_are_built_fast():
+    started = time.monotonic()
+    topk.CoverTree(np.random.default_rng(5).standard_normal((20_000, 32)), np.arange(20_000), 0)
+    assert time.monotonic() - started < 20
 
 
 # ---- 4 secrets ----
