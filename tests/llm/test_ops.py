@@ -334,6 +334,38 @@ def test_main_text(html, want):
     assert html_text.main_text(html) == want
 
 
+PART = "<h1>Title here</h1><p>First paragraph, with words, and more of them, for some length of text.</p><p>Second one. It goes on, and on.</p><ul><li>one</li><li>two</li></ul>"
+READ = "Title here\nFirst paragraph, with words, and more of them, for some length of text.\nSecond one. It goes on, and on.\none\ntwo"
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<div class='content has-sidebar'>{PART}</div>",
+        f"<div class='post with-comments'>{PART}</div>",
+        f"<div id='page-side'>{PART}</div>",
+        f"<section class='social-history'>{PART}</section>",
+        f"<div class='widget-content'>{PART}</div>",
+        f"<div class=top><a href=/>Home</a></div><div id=c>{PART}</div><div class=more><p>Read our other story</p></div><div>© 2024 Somebody</div>",
+        f"<div id=c>{PART}</div><div class=comments-area>" + "<p>I think, as a reader, that this, is long, and wide.</p>" * 30 + "</div>",
+        "<div class=cookie-notice>" + "<p>We use, cookies, for, things.</p>" * 30 + f"</div><div id=c>{PART}</div>",
+        f"<div id=w><div class=hd><h1>Title here</h1></div><div class=bd>{PART[19:]}</div></div>",
+        f"<div id=w><h1>Title here</h1><div class=s><div>{PART[19:].replace('<p>Second', '</div></div><div class=s><div><p>Second')}</div></div></div><div><ul><li><a href=1>x y z</a><li><a href=2>menu, two</a></ul></div>",
+        f"<div class=sidebar><article>{PART}</article></div><div><p>Other words.</p></div>",
+        f"<div id=c>{PART}</div><div class=comments><article class=comment><p>So, nice, words, here, and there.</p></article><article class=comment><p>Yes, so, nice, it is, truly.</p></article></div>",
+        f"<main><div>{PART}</div><div class=related-posts><p>Another story, as long, as you, like, to, read.</p></div></main>",
+    ],
+)
+def test_main_text_without_an_article_element(body):
+    assert html_text.main_text(f"<html><body>{body}<footer><p>f, g, h</p></footer></body></html>") == READ
+
+
+def test_main_text_does_not_hang_on_the_article_element(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    for html in pages:
+        assert html_text.main_text(html.replace("<article", "<div").replace("</article", "</div")) == html_text.main_text(html) != ""
+
+
 def test_pages(spark):
     deep = "<div>" * 3000 + "<p>deep</p>" + "</div>" * 3000
     rows = [(1, "u", "<article><p>é</p></article>"), (None, None, None), (1, "u", deep), (2, "v", "<p>" + "w " * 200_000)]

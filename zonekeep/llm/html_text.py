@@ -1,19 +1,29 @@
 """Main text of raw HTML by tree scoring.
 
 The page becomes a tree with HTML's own rules for void elements, raw text and
-implied end tags.  Menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments are set aside by element, role and by the
-words in class and id.  Each paragraph passes points for its length and commas
-to its parent, and every ancestor gets half of what the one below it got; a
-container's points are discounted by its share of link text.  The best container is kept, or the
-article around it, and of its siblings those that score or read like it.
+implied end tags.  Each paragraph passes points for its length and commas to its
+parent, and every ancestor gets half of what the one below it got (lists and
+tables pass on all they get); a container's points are discounted by its share
+of link text.  The best container is kept and, beside it and beside each of its
+ancestors, the siblings that score like it, and headings.  No element counts as
+the article because of its name.
+
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+reader comments are set aside before: by element and role always; by class or id
+when a name consists of such words only (``comment-list``), or tells of
+comments; when a name has such a word beside others (``page-side``) only while
+the element holds less than half of the page's text.  Names that begin with has,
+with, no and the like say nothing of the element itself.  What holds an article
+or main element is not set aside by such a name, nor is anything when the
+page has no other text.
 
 Blocks are the runs of text between block elements; white space inside a block
 becomes one space, character references are decoded after the tags are taken
 away, and blocks are joined in page order by a newline.
 
-Defined results: a page that is null or has no text gives an empty text; a tag
-or comment that is never closed ends with the page; a stray end tag is ignored.
+Defined results: a page that is null or has no text gives an empty text; a page
+without paragraphs gives all its text that is not set aside; a tag or comment
+that is never closed ends with the page; a stray end tag is ignored.
 """
 
 from __future__ import annotations
@@ -52,51 +62,75 @@ ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted sidebar side aside nav navbar navigation menu breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus replies reply respond share sharing social related recommended recommendations widget widgets toolbar pagination pager paging skip hidden".split()
 )
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert alertdialog form toolbar".split())
-#: Points that an element has from the start.
-START = {"article": 25.0, "main": 20.0, "section": 2.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "th": -5.0}
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: Words that say nothing about what an element holds, and words that make a name tell of something else.
+NEUTRAL_WORDS = frozenset("list lists item items area box bar block blocks container wrapper wrap inner link links button buttons icon icons left right top bottom group panel zone slot unit".split())
+OTHER_WORDS = frozenset("has with without no not hide show is".split())
+#: How firmly an element is set aside: not, by a name among others, by a name, by its element or role.
+NOT, LOOSELY, BY_NAME, ALWAYS = range(4)
 PARAGRAPHS = frozenset(["p", "pre", "td", "blockquote", "li", "dd"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that pass on all their points and are no containers of their own.
+PASSING = frozenset("ul ol dl table thead tbody tfoot tr".split())
 #: Elements beside the best container that are kept when they read like text.
-_LIKE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl table figure".split())
+_LIKE = frozenset("p pre blockquote ul ol dl table figure".split())
+#: A sibling is kept from these shares of the best container's value on: beside it, and beside its ancestors.
+BESIDE, ABOVE = 0.2, 0.5
 
 _TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|/?([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))|[!?/][^>]*+(?:>|\Z))", re.DOTALL)
 _ATTR = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_SENTENCE = re.compile(r"[.!?:;。！？…][\"'”’»)]*\s*\Z")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
 class _Node:
-    __slots__ = ("aside", "commas", "items", "link_chars", "parent", "passed", "points", "tag", "text_chars", "touched")
+    __slots__ = ("aside", "commas", "heading_chars", "items", "link_chars", "parent", "passed", "peak", "tag", "text_chars")
 
-    def __init__(self, tag: str, parent: _Node | None, aside: bool):
+    def __init__(self, tag: str, parent: _Node | None, aside: int):
         self.tag, self.parent, self.aside = tag, parent, aside
         self.items: list = []
-        self.points = START.get(tag, 0.0)
-        self.text_chars = self.link_chars = self.commas = 0
-        self.passed, self.touched = 0.0, False
+        self.text_chars = self.link_chars = self.heading_chars = self.commas = 0
+        self.passed = self.peak = 0.0
 
+    @property
+    def value(self) -> float:
+        if self.tag in PASSING or not self.text_chars:
+            return 0.0
+        return self.passed * (1.0 - self.link_chars / self.text_chars)
 
-def _is_aside(tag: str, attributes: str) -> bool:
+
+def name_kind(name: str) -> int:
+    """How firmly one class name or id sets its element aside."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    found = [w for w in words if w in ASIDE_WORDS]
+    if not found or any(w in OTHER_WORDS for w in words):
+        return NOT
+    if any(w in COMMENT_WORDS for w in words) or all(w in ASIDE_WORDS or w in NEUTRAL_WORDS for w in words):
+        return BY_NAME
+    return LOOSELY
+
+
+def _aside(tag: str, attributes: str) -> int:
     if tag in SET_ASIDE:
-        return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return ALWAYS
+    out = NOT
+    if not attributes or tag in ("html", "body", "main"):
+        return out
     for name, a, b, c in _ATTR.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            for word in unescape(value).split():
-                if any(w.lower() in ASIDE_WORDS for w in _WORDS.findall(word)):
-                    return True
-        elif name == "role":
-            if value.strip().lower() in ASIDE_ROLES:
-                return True
+            out = max([out, *map(name_kind, unescape(value).split())])
+        elif name == "role" and value.strip().lower() in ASIDE_ROLES:
+            return ALWAYS
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-            return True
-    return False
+            return ALWAYS
+    return out
 
 
 def parse(html: str) -> _Node:
     """The tree of a page: items of a node are its texts and child nodes in order."""
-    root = _Node("#page", None, False)
+    root = _Node("#page", None, NOT)
     now, at, n = root, 0, len(html)
     open_tags: dict[str, int] = {}
 
@@ -143,13 +177,13 @@ def parse(html: str) -> _Node:
                 node = node.parent
             if close is not None:
                 now = close_to(close, now)
-        node = _Node(tag, now, _is_aside(tag, attributes))
+        node = _Node(tag, now, _aside(tag, attributes))
         now.items.append(node)
         if tag in RAW:
             if lower is None:
                 lower = html.lower()
             end = lower.find(f"</{tag}", at)
-            node.aside = True
+            node.aside = ALWAYS
             if end < 0:
                 break
             close = html.find(">", end)
@@ -160,14 +194,14 @@ def parse(html: str) -> _Node:
     return root
 
 
-def _measure(root: _Node) -> list[_Node]:
-    """Text and link characters of every node, and the nodes in page order without what is set aside."""
+def _measure(root: _Node, limit: int) -> list[_Node]:
+    """Characters of every node, and the nodes in page order, without what is set aside more firmly than ``limit``."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        kept = [x for x in node.items if isinstance(x, _Node) and not x.aside]
-        stack.extend(reversed(kept))
+        node.text_chars = node.link_chars = node.heading_chars = node.commas = 0
+        stack.extend(reversed([x for x in node.items if isinstance(x, _Node) and x.aside <= limit]))
     for node in reversed(order):
         for x in node.items:
             if isinstance(x, str):
@@ -175,61 +209,105 @@ def _measure(root: _Node) -> list[_Node]:
                 node.commas += x.count(",") + x.count("，") + x.count("、")
         if node.tag == "a":
             node.link_chars = node.text_chars
+        if node.tag in HEADINGS:
+            node.heading_chars = node.text_chars
         if node.parent is not None:
-            node.parent.text_chars += node.text_chars
-            node.parent.link_chars += node.link_chars
-            node.parent.commas += node.commas
+            for k in ("text_chars", "link_chars", "heading_chars", "commas"):
+                setattr(node.parent, k, getattr(node.parent, k) + getattr(node, k))
     return order
 
 
-def _link_share(node: _Node) -> float:
-    return node.link_chars / node.text_chars if node.text_chars else 0.0
+def _settle(root: _Node) -> None:
+    """Decides what the names of classes set aside: ``aside`` is NOT or ALWAYS afterwards."""
+    order = _measure(root, BY_NAME)
+    if all(x.aside == NOT for x in order):
+        return
+    for node in reversed(order):  # what holds an article is not set aside by its name, except among comments
+        if node.aside == NOT and node.tag in ("article", "main") and node.text_chars > node.link_chars:
+            up = node.parent
+            while up is not None and up.aside != BY_NAME:
+                up.aside, up = NOT, up.parent
+            if up is not None and not _in_comments(up):
+                while up is not None:
+                    up.aside, up = NOT, up.parent
+    words = lambda x: x.text_chars - x.link_chars
+    rest = _measure(root, LOOSELY)
+    if words(root) <= 0:  # nothing else has text
+        rest = _measure(root, BY_NAME)
+        for node in rest:
+            node.aside = NOT
+    half = words(root) / 2
+    for node in rest:
+        if node.aside == LOOSELY and words(node) > half:
+            node.aside = NOT
+    for node in order:
+        if node.aside != NOT:
+            node.aside = ALWAYS
 
 
-def choose(root: _Node) -> list[_Node]:
-    """The best container and the siblings that belong to it, in page order."""
-    order = _measure(root)
+def _in_comments(node: _Node) -> bool:
+    """Whether an element is, or is in, one of many of its kind: each comment of a list may be an article of its own."""
+    count, stack = 0, [node]
+    while stack and count < 2:
+        x = stack.pop()
+        count += x.tag == "article"
+        stack.extend(y for y in x.items if isinstance(y, _Node))
+    return count > 1
+
+
+def _score(order: list[_Node]) -> None:
     for node in reversed(order):  # from the leaves up, each node once
-        if node.parent is None or node.parent.tag in ("#page", "html"):
+        node.peak = max(node.peak, node.value)
+        if node.parent is None:
             continue
+        node.parent.peak = max(node.parent.peak, node.peak)
+        given = node.passed if node.tag in PASSING else node.passed / 2
         direct = any(isinstance(x, str) and x.strip() for x in node.items)
-        inline = direct and not any(isinstance(x, _Node) and x.tag in BLOCK and not x.aside for x in node.items)
-        given = node.passed / 2
+        inline = direct and not any(isinstance(x, _Node) and x.tag in BLOCK and x.aside == NOT for x in node.items)
         if node.text_chars and (node.tag in PARAGRAPHS or node.tag in ("div", "section") and inline):
             given += 1.0 + node.commas + min(node.text_chars / 100.0, 3.0)
-        if given:
+        if node.parent.tag not in ("#page", "html"):
             node.parent.passed += given
-            node.parent.touched = True
-    for node in order:
-        node.points += node.passed
-        # an article without paragraphs is still one
-        node.touched |= node.tag in ("article", "main") and node.text_chars > 0
-    touched = [x for x in order if x.touched]
-    if not touched:
+
+
+def _text(node: _Node) -> str:
+    return "\n".join(blocks([node]))
+
+
+def _reads_like_text(node: _Node) -> bool:
+    if node.tag not in _LIKE or not node.text_chars:
+        return False
+    if node.text_chars > 80:
+        return node.link_chars < 0.25 * node.text_chars
+    return not node.link_chars and (node.tag != "p" or bool(_SENTENCE.search(_text(node))))
+
+
+def choose(root: _Node) -> list[_Node]:
+    """The best container and what belongs to it, in page order."""
+    _settle(root)
+    order = _measure(root, NOT)
+    _score(order)
+    best = max(order, key=lambda x: x.value)
+    if best.value <= 0:
         return [root]
-    value = lambda x: x.points * (1.0 - _link_share(x))
-    best = max(touched, key=value)
-    up = best
-    while up is not None:  # the article is one piece, however it is divided
-        if up.tag == "article" or up.tag == "main" and best.tag != "article":
-            best = up
-        up = up.parent
-    while best.tag != "article" and best.parent is not None and best.parent.tag not in ("body", "html", "#page"):
-        rest, links = best.parent.text_chars - best.text_chars, best.parent.link_chars - best.link_chars
-        if links > 0.25 * rest:  # what stands beside it is a list of links
-            break
-        best = best.parent
-    if best.parent is None or best.tag in ("body", "main", "article"):
-        return [best] if best.tag != "article" else [x for x in best.parent.items if isinstance(x, _Node) and not x.aside and (x is best or x.tag == "article" and x.touched and value(x) >= max(10.0, 0.2 * value(best)))]
-    least = max(10.0, 0.2 * value(best))
-    kept = []
-    for x in best.parent.items:
-        if not isinstance(x, _Node) or x.aside:
-            continue
-        like = x.tag in _LIKE and (x.text_chars > 80 and _link_share(x) < 0.25 or 0 < x.text_chars <= 80 and x.link_chars == 0)
-        if x is best or x.touched and value(x) >= least or like:
-            kept.append(x)
-    return kept
+    if best.tag in ("body", "#page", "html"):
+        return [best]
+    kept, path, least = {id(best)}, best, BESIDE * best.value
+    while path.parent is not None:
+        after = False
+        for x in path.parent.items:
+            if x is path:
+                after = True
+            elif isinstance(x, _Node) and x.aside == NOT and x.text_chars:
+                heading = x.heading_chars == x.text_chars and not x.link_chars
+                if path is best:
+                    keep = x.peak >= least or heading or _reads_like_text(x)
+                else:  # a heading over the best container, or another part of the same weight
+                    keep = x.peak >= ABOVE * best.value or heading and not after
+                if keep:
+                    kept.add(id(x))
+        path = path.parent
+    return [x for x in order if id(x) in kept]
 
 
 def blocks(nodes: list[_Node]) -> list[str]:
@@ -254,7 +332,7 @@ def blocks(nodes: list[_Node]) -> list[str]:
                 run.append(x)
             elif x.tag == "br":
                 run.append("\n")
-            elif not x.aside:
+            elif x.aside == NOT:
                 if x.tag in BLOCK:
                     cut()
                     stack.append(None)
