@@ -107,3 +107,38 @@ def test_ids_decode_to_the_mix(stages):
     got = Counter((r["doc_id"], library.decode(list(r["ids"]), skip_special_tokens=False)) for r in stages[5].collect())
     assert got == texts
     assert all(r["n_tokens"] == len(r["ids"]) for r in stages[5].collect())
+
+
+def test_odd_rows_pass_all_stages(spark, tmp_path):
+    """Nulls in every column, empty, blank and very long texts, repeated rows, and columns whose names the stages use themselves."""
+    import random
+
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from zonekeep.llm.queries import vocabulary
+
+    rng = random.Random(2)
+    words = [a + b for a in ("the", "an", "er", "ing", "tion") for b in ("", "nd", "ti", "es", "or", "ed")]
+    plain = [" ".join(rng.choice(words) for _ in range(rng.randint(20, 200))).capitalize() + "." for _ in range(60)]
+    long = " ".join(rng.choice(words) for _ in range(60_000))
+    rows = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(plain)]
+    rows += [(None, None, None, None, None), (70, "", "en", "s1", 0), (70, "", "en", "s1", 0), (71, " \t\n", None, "", 3), (72, long, "en", None, len(long)), (72, long, "en", None, len(long)), (73, plain[5], "en", "s0", None), (74, "an token=9f8a7d6c5b4a39281706f5e4d3c2b1a0 the", "en", "s2", 45)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("size", "score", "taken", "node", "key", "root", "block", "n_tokens", "row_key"):
+        docs = docs.withColumn(c, F.lit(None).cast("int"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(60)] + [(99, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, out, str(tmp_path))
+        assert out.columns == docs.columns, name
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    library = Tokenizer.from_file(vocabulary())
+    kept = {r["doc_id"]: library.decode(list(r["ids"]), skip_special_tokens=False) for r in got}
+    assert kept[72] == long and kept[3] == plain[3] and "9f8a7d6c" not in kept.get(74, "") and 73 not in kept
+    assert sum(r["doc_id"] in (None, 70, 71) for r in got) <= 1
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0

@@ -1,7 +1,8 @@
 """Secret scans with a random forest against false positives.
 
 Candidates are values assigned to a telling name, strings that begin like a
-known kind of key, private key blocks, and long mixed words.  A forest decides
+known kind of key, private key blocks, and all words of 12 characters or more
+that mix letters and digits, addresses and paths among them.  A forest decides
 on each: candidate length, transitions between kinds of characters, dictionary
 coverage, whether it lies in a path, and the neighbouring words.  The forest is
 grown in numpy from labelled findings; ``labelled_findings`` makes a seeded set
@@ -38,6 +39,7 @@ COMMON = tuple(
     "the and for that with this from are was not but have has had they you all can her his one our out day get him how man new now old see two way who boy did its let put say she too use about after again also been before being between both came come could each even first found give good great hand here home house into just know large last life like line little long look made make many more most much must name never number only other over part people place right same should small some still such take tell than their them then there these thing think time turn under until very want water well went were what when where which while will word work world would write year main data file user login server client config index value table query model image report order account service system public private admin local global source target string format request response session update create delete select".split()
 )
 _ASSIGNED = re.compile(rf"(?:^|[^\w])([\w.\-]{{0,40}}{KEY_NAME}[\w.\-]{{0,24}})[\"'\])]*\s*$", re.IGNORECASE)
+_NESTED = re.compile(rf"[\"']?[\w.\-]{{0,40}}{KEY_NAME}[\w.\-]{{0,24}}[\"']?\s?[=:]", re.IGNORECASE)
 _LEAD = re.compile(r"[=>]?\s*+(?:(?:bearer|basic)\s++)?", re.IGNORECASE)
 _QUOTED = re.compile(r"\"([^\"\n]{4,}+)\"|'([^'\n]{4,}+)'")
 # a value without quotes goes to the next blank, or to a quote that closes something around it
@@ -47,6 +49,7 @@ _SEPARATOR = re.compile(r"[&#]")
 _AFTER = re.compile(r"(?:[,;]|###+|%%%+|\*\*\*+)\Z")
 _MARK = re.compile("[=:]")
 _LONG = re.compile(r"[A-Za-z0-9+/=_\-.]{20,}")
+_MIXED = re.compile(r"[A-Za-z0-9+/=_\-.@:]{12,}")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)", re.DOTALL)
 _KNOWN_WORDS = re.compile("|".join(sorted({w for w in COMMON + PLACEHOLDERS if len(w) > 3}, key=lambda w: (-len(w), w))))
 _VOWELS = frozenset("aeiouAEIOU")
@@ -68,6 +71,8 @@ def find_candidates(text: str) -> list[tuple[int, int, str]]:
         if not (name := _ASSIGNED.search(text, max(0, mark.start() - 72), mark.start())):
             continue
         at = _LEAD.match(text, mark.end()).end()
+        if _NESTED.match(text, at):  # an assignment in the value has the value of its own
+            continue
         if m := _QUOTED.match(text, at):
             if m[m.lastindex].strip():
                 found.append((*m.span(m.lastindex), "assigned"))
@@ -93,9 +98,9 @@ def find_candidates(text: str) -> list[tuple[int, int, str]]:
             at = text.find(begin, at + len(begin))
     at = 0
     for word in text.split():
-        if len(word) >= 20:
+        if len(word) >= 12:
             at = text.index(word, at)
-            for m in _LONG.finditer(text, at, at + len(word)):
+            for m in _MIXED.finditer(text, at, at + len(word)):
                 value = m[0]
                 if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
                     found.append((m.start(), m.end(), "long"))
@@ -234,7 +239,7 @@ class Forest:
         return total / max(len(self.trees), 1)
 
 
-def labelled_findings(n: int = 4000, seed: int = 3) -> list[tuple[str, str, str, str, int]]:
+def labelled_findings(n: int = 5000, seed: int = 3) -> list[tuple[str, str, str, str, int]]:
     """Seeded findings (value, text before, text after, kind, is a secret) of the sorts that scans meet."""
     rng = random.Random(seed)
     alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -268,7 +273,7 @@ def labelled_findings(n: int = 4000, seed: int = 3) -> list[tuple[str, str, str,
                 quote = rng.choice(["", '"', "'"])
                 kind, before, after = "assigned", f"{prose()} {rng.choice(names)}{rng.choice(['=', ' = ', ': '])}{quote}", f"{quote}{rng.choice(['', '### ', '%%% ', '. '])} {prose()}"
         else:
-            way = rng.randint(0, 8)
+            way = rng.randint(0, 10)
             kind = "long"
             before, after = f"{prose()} {rng.choice(benign_names)}{rng.choice([' ', ': ', '='])}", f" {prose()}"
             if way <= 1:
@@ -291,6 +296,19 @@ def labelled_findings(n: int = 4000, seed: int = 3) -> list[tuple[str, str, str,
             elif way == 7:
                 value = f"{word()}.{word()}.{rng.randint(1, 99)}@{word()}.example.com"
                 before = f"{prose()} "
+            elif way == 8:
+                day = f"20{rng.randint(10, 29)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}"
+                value = rng.choice([
+                    f"{day}T{rng.randint(0, 23):02d}:{rng.randint(0, 59):02d}:{rng.randint(0, 59):02d}{rng.choice(['Z', '+00:00', '.000Z', ''])}",
+                    f"{rng.randint(0, 20)}.{rng.randint(0, 40)}.{rng.randint(0, 9)}-{rng.choice(['beta', 'rc', 'alpha', 'dev'])}.{rng.randint(1, 20)}+build.{day.replace('-', '')}",
+                    f"{day}-{word()}-{word()}.{rng.choice(['log', 'txt', 'csv', 'tar.gz'])}",
+                    f"v{rng.randint(0, 20)}.{rng.randint(0, 40)}.{rng.randint(0, 9)}-{hexa(8)}",
+                ])
+                before = f"{prose()} {rng.choice(['', 'at ', 'on ', 'version ', 'since '])}"
+            elif way == 9:
+                value, kind = rng.choice("*x.-_#•") * rng.randint(4, 24), "assigned"
+                quote = rng.choice(["", '"', "'"])
+                before, after = f"{prose()} {rng.choice(names)}{rng.choice(['=', ' = ', ': '])}{quote}", f"{quote} {prose()}"
             else:
                 value, kind = rng.choice(["os.environ", "get_secret()", "config.token", "process.env.TOKEN", "args.password", "self.password", "getpass.getpass", "getpass.getpass()", "${TOKEN}", "$PASSWORD", "{{secret}}", "%(password)s", "os.environ['TOKEN']", "<password>"]), "assigned"
                 before = f"{prose()} {rng.choice(names)} = "
