@@ -1,6 +1,8 @@
 """Near-duplicate classes by DartMinHash.
 
-A text is a weighted set of shingles of five words.  For each shingle a Poisson
+A text is the set of its shingles of five words, so that similarity is that of
+sets: every weight is one, also of a shingle that repeats (``dart_signatures``
+takes any weights).  For each shingle a Poisson
 process of darts is drawn from its hash over (weight, rank): strips of weight
 double in width, and in each strip darts come in order of rank.  Darts whose
 weight lies under the shingle's weight and whose rank is under a limit fall on
@@ -12,7 +14,7 @@ the probability of their (weighted) Jaccard similarity.
 The signatures are joined by bands.  Texts with the same set are one node.
 In each band bucket the members are compared with its smallest and its largest
 node, never all with all, and every pair is verified by the exact Jaccard
-similarity of the two shingle sets.  Nodes that stay apart though they share a
+similarity of the two sets of 64-bit shingle hashes.  Nodes that stay apart though they share a
 bucket are dealt anew: leaders drawn from the bucket's still separate components
 are compared with its members for a few rounds.  What is apart then is settled
 exactly: over all nodes of the buckets that are still apart, a prefix join finds
@@ -131,7 +133,7 @@ def _nodes(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, bands: int, rows: int, words: int) -> DataFrame:
-    """doc_id, row_key, node, keys (array of long, one for each band) and shingles (binary, four bytes each) of every text."""
+    """doc_id, row_key, node, keys (array of long, one for each band) and shingles (binary, eight bytes each) of every text."""
     names = ["doc_id", "row_key", "node", "keys", "shingles"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,8 +141,7 @@ def signed(docs: DataFrame, bands: int, rows: int, words: int) -> DataFrame:
             for begin, end in batches(part.column(2), 1 << 20):
                 shingles, at = shingle_sets(part.column(2).slice(begin, end - begin), words)
                 keys = band_keys(dart_signatures(shingles, at, bands * rows), bands, rows).view(np.int64)
-                small = (shingles >> _U(32)).astype(np.uint32)
-                held = [small[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                held = [shingles[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 offsets = np.arange(0, (end - begin + 1) * bands, bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).slice(begin, end - begin), part.column(1).slice(begin, end - begin), pa.array(_nodes(shingles, at)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())), pa.array(held, pa.binary())],
@@ -159,7 +160,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         for part in parts:
             keep = np.zeros(part.num_rows, bool)
             for i in range(part.num_rows):
-                s, t = np.frombuffer(part.column(2)[i].as_py(), np.uint32), np.frombuffer(part.column(3)[i].as_py(), np.uint32)
+                s, t = np.frombuffer(part.column(2)[i].as_buffer(), np.uint64), np.frombuffer(part.column(3)[i].as_buffer(), np.uint64)
                 if min(len(s), len(t)) < similarity * max(len(s), len(t)):
                     continue
                 both = np.sort(np.concatenate([s, t]), kind="stable")
@@ -182,12 +183,12 @@ def _remaining(held: DataFrame, similarity: float) -> DataFrame:
         for part in parts:
             for begin in range(0, part.num_rows, 64):
                 piece = part.slice(begin, 64)
-                sets = [np.unique(np.frombuffer(s, np.uint32)) for s in piece.column(2).to_pylist()]
+                sets = [np.unique(np.frombuffer(s, np.uint64)) for s in piece.column(2).to_pylist()]
                 size = np.array([len(s) for s in sets], np.int32)
                 at = pa.array(np.repeat(np.arange(len(sets)), size))
-                yield pa.RecordBatch.from_arrays([piece.column(0).take(at), piece.column(1).take(at), pa.array(np.repeat(size, size)), pa.array(np.concatenate(sets).view(np.int32))], names=["node", "root", "size", "token"])
+                yield pa.RecordBatch.from_arrays([piece.column(0).take(at), piece.column(1).take(at), pa.array(np.repeat(size, size)), pa.array(np.concatenate(sets).view(np.int64))], names=["node", "root", "size", "token"])
 
-    tokens = held.select("node", "root", "shingles").mapInArrow(run, "node long, root long, size int, token int")
+    tokens = held.select("node", "root", "shingles").mapInArrow(run, "node long, root long, size int, token long")
     # a token of one root only is never common to a pair, and where it stands among its like does not matter
     common = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token", "n")
     placed = tokens.join(common, "token").groupBy("node").agg(F.first("root").alias("root"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
@@ -212,30 +213,36 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
 
     root numbers the class, and row_key is xxhash64(doc_id, text).
     """
-    full = stage(signed(docs, bands, rows, words), "dedup-signed")
-    nodes = stage(full.select("doc_id", "row_key", "node"), "dedup-nodes")
+    used: list[DataFrame] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        used.append(stage(df, label))
+        return used[-1]
+
+    full = keep(signed(docs, bands, rows, words), "dedup-signed")
+    nodes = keep(full.select("doc_id", "row_key", "node"), "dedup-nodes")
     # exact copies are one node from here on
     banded = full.groupBy("node").agg(F.first("keys").alias("keys")).select("node", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).filter("low <> high")
-    buckets = stage(banded.join(shared.select("key", "n"), "key").select("key", "node", "n"), "dedup-buckets")
+    buckets = keep(banded.join(shared.select("key", "n"), "key").select("key", "node", "n"), "dedup-buckets")
     # how many others a node meets in its buckets; the texts that a group was made from meet most
-    meeting = stage(buckets.groupBy("node").agg(F.sum("n").alias("degree")), "dedup-meeting")
+    meeting = keep(buckets.groupBy("node").agg(F.sum("n").alias("degree")), "dedup-meeting")
     sets = full.select("node", "shingles").join(meeting.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = stage(sets, "dedup-sets")
+    sets = keep(sets, "dedup-sets")
     discard(full)
 
     tried = None
-    roots = stage(meeting.select("node", "degree", F.col("node").alias("root")), "dedup-roots")
+    roots = keep(meeting.select("node", "degree", F.col("node").alias("root")), "dedup-roots")
     for turn in range(ROUNDS + 1):
         member = buckets.select("key", "node").join(roots, "node")
         if turn:  # only buckets whose members are still apart
             apart = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
-            member = stage(member.join(apart, "key", "left_semi"), "dedup-apart")
+            member = keep(member.join(apart, "key", "left_semi"), "dedup-apart")
             if member.isEmpty():
                 break
             member = _rescan(member)
         if turn == ROUNDS:  # all pairs that are left
-            held = stage(sets.join(member.select("node", "root").distinct(), "node"), "dedup-held")
+            held = keep(sets.join(member.select("node", "root").distinct(), "node"), "dedup-held")
             pairs = _remaining(held, similarity)
         else:
             if turn:  # a member, and a component (few stragglers beside a large component are drawn as soon as it), by hash
@@ -245,23 +252,25 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
             leaders = member.groupBy("key").agg(*[F.min_by(c, r).alias(f"{c}{j}") for j, r in enumerate(draws) for c in ("node", "root")])
             heads = F.array_distinct(F.array(*[F.struct(F.col(f"node{j}").alias("b"), F.col(f"root{j}").alias("b_root")) for j in range(len(draws))]))
             # staged, so that a bucket of many members can be split in the join
-            pairs = member.join(stage(leaders, "dedup-leaders"), "key").select("node", "root", F.explode(heads).alias("h"))
+            pairs = member.join(keep(leaders, "dedup-leaders"), "key").select("node", "root", F.explode(heads).alias("h"))
             pairs = pairs.filter("root <> h.b_root").select(F.least("node", "h.b").alias("a"), F.greatest("node", "h.b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "dedup-pairs")
+        pairs = keep(pairs, "dedup-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = stage(_verify(pairs, sets, similarity), "dedup-links")
+        links = keep(_verify(pairs, sets, similarity), "dedup-links")
         old = _rescan(roots)
         edges = links.join(roots.drop("degree").withColumnRenamed("node", "a").withColumnRenamed("root", "x"), "a").join(old.drop("degree").withColumnRenamed("node", "b").withColumnRenamed("root", "y"), "b")
-        edges = stage(edges.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "dedup-edges")
+        edges = keep(edges.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "dedup-edges")
         if edges.isEmpty():
             continue
         merged = connected(edges, "dedup").select(F.col("node").alias("root"), F.col("root").alias("new"))
-        roots = stage(_rescan(roots).join(merged, "root", "left").select("node", "degree", F.coalesce("new", "root").alias("root")), "dedup-roots")
-    discard(sets)
+        roots = keep(_rescan(roots).join(merged, "root", "left").select("node", "degree", F.coalesce("new", "root").alias("root")), "dedup-roots")
     classed = nodes.join(roots.drop("degree"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return stage(classed.select("doc_id", "row_key", "root"), "dedup-classed")
+    classed = stage(classed.select("doc_id", "row_key", "root"), "dedup-classed")
+    for table in used:
+        discard(table)
+    return classed
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
