@@ -83,26 +83,23 @@ def schedule(sources: DataFrame, slot_chunk: int = SLOT_CHUNK, surplus: float =
     A few more slots than needed are drawn, as the ranks that a source gets
     differ from its share by a few; ranks past its goal are not served.
     """
-    spark = sources.sparkSession
-    rows = sources.select("source_no", "low", "high", "n_blocks", "source_size", "goal", "slots", "total_slots").filter("slots > 0").orderBy("source_no").collect()  # a row a source
-    total = rows[0]["total_slots"] if rows else 0
+    served = sources.filter("slots > 0")
+    total, n = served.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.count("*")).first()
     # each source needs `slots` ranks: draw until the shortest share has them too
-    drawn = int(total * (1 + surplus)) + 64 * len(rows) if rows else 0
+    drawn = int(total * (1 + surplus)) + 64 * n
     point = (F.col("slot") + 1) * F.lit(GOLDEN)
-    slots = spark.range(0, drawn, 1, max(1, min(4096, drawn // slot_chunk))).withColumnRenamed("id", "slot")
+    slots = sources.sparkSession.range(0, drawn, 1, max(1, min(4096, drawn // slot_chunk))).withColumnRenamed("id", "slot")
     slots = slots.withColumn("point", point - F.floor(point)).withColumn("chunk", F.floor(F.col("slot") / slot_chunk))
-    cuts = spark.createDataFrame([(r["source_no"], r["low"], r["high"], r["n_blocks"], r["source_size"], r["goal"], r["slots"]) for r in rows], "source_no int, low double, high double, n_blocks long, source_size long, goal long, slots long")
-    # a point finds its source by binary search in the ends of the intervals
-    ends = [r["high"] for r in rows]
-    index = _search(F.col("point"), ends)
-    slots = slots.withColumn("cut", index)
-    cuts = cuts.withColumn("cut", F.row_number().over(Window.orderBy("source_no")) - 1)
-    within = Window.partitionBy("chunk", "cut").orderBy("slot")
-    slots = slots.withColumn("near", F.row_number().over(within) - 1)
-    counts = slots.groupBy("chunk", "cut").agg(F.count("*").alias("n"))
-    prior = Window.partitionBy("cut").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # a point finds its source among those whose interval reaches into the point's piece of the line, one or two as a rule
+    pieces = max(64, n)
+    piece = lambda x: F.least(F.floor(x * pieces), F.lit(pieces - 1)).cast("long")
+    cuts = served.select("source_no", "low", "high", "n_blocks", "source_size", "goal", "slots").withColumn("piece", F.explode(F.sequence(piece(F.col("low")), piece(F.col("high")))))
+    slots = slots.withColumn("piece", piece(F.col("point"))).join(cuts, "piece").filter("point >= low and point < high").drop("piece", "low", "high")
+    slots = slots.withColumn("near", F.row_number().over(Window.partitionBy("chunk", "source_no").orderBy("slot")) - 1)
+    counts = slots.groupBy("chunk", "source_no").agg(F.count("*").alias("n"))
+    prior = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("prior", F.coalesce(F.sum("n").over(prior), F.lit(0))).drop("n")
-    ranked = slots.join(counts, ["chunk", "cut"]).join(cuts, "cut").withColumn("rank", F.col("near") + F.col("prior"))
+    ranked = slots.join(counts, ["chunk", "source_no"]).withColumn("rank", F.col("near") + F.col("prior"))
     ranked = ranked.filter(F.col("rank") < F.col("slots")).withColumn("block", F.col("rank") % F.col("n_blocks"))
     lo, hi = _edge("block"), _edge("block", 1)
     rounds = F.floor(F.col("rank") / F.col("n_blocks")) * F.col("source_size")
@@ -110,14 +107,6 @@ def schedule(sources: DataFrame, slot_chunk: int = SLOT_CHUNK, surplus: float =
     return ranked.select("slot", "source_no", "rank", "block", F.greatest(F.lit(0), F.least(hi - lo, left)).cast("long").alias("words"))
 
 
-def _search(point: Column, ends: list[float]) -> Column:
-    """Number of ``ends`` (ascending) that are at or below the point."""
-    if len(ends) <= 1:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(e)) for e in ends[:-1]])
-    return F.size(F.filter(arr, lambda e: e <= point))
-
-
 def _edge(block: str, more: int = 0) -> Column:
     """First word of a block: the first (size mod n_blocks) blocks have one word more than the others."""
     return F.expr(f"({block} + {more}) * (source_size div n_blocks) + least({block} + {more}, source_size % n_blocks)")
@@ -176,18 +165,23 @@ def repeat_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as rows: each document of ``docs`` as often as the mix takes it, to the nearest whole number.
 
     A document of which the mix takes less than half goes; one without words has nothing to take and stays once.
+    Rows that repeat an id and text are given the same number together, dealt out the same way in every run.
     """
     names = docs.columns
     key = F.xxhash64("doc_id", "text")
-    keyed = docs.select(key.alias("doc_id"), "source", "text")
-    taken = mix_sources(keyed, **options)
-    times = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))).cast("int")
+    taken = mix_sources(docs.select(key.alias("doc_id"), "source", "text"), **options)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))).cast("long")
     # rows with the same key repeat each other: together they stay as often as all of them are taken
-    copies = taken.groupBy(F.col("doc_id").alias("__mix_key")).agg(F.sum(times).alias("__mix_all"), F.count("*").alias("__mix_rows"))
-    joined = docs.withColumn("__mix_key", key).join(copies, "__mix_key")
-    share = F.col("__mix_all").cast("double") / F.col("__mix_rows")
-    whole = F.floor(share).cast("int")
-    # what is left over goes to some of the repeats by their place, which is the same for equal rows
-    extra = F.pmod(F.xxhash64("__mix_key", F.spark_partition_id(), F.monotonically_increasing_id()), F.col("__mix_rows")) < F.col("__mix_all") - whole * F.col("__mix_rows")
-    count = whole + F.when((F.col("__mix_rows") > 1) & extra, 1).otherwise(0)
-    return joined.withColumn("__mix_n", count).filter("__mix_n > 0").withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n")))).select(*names)
+    copies = stage(taken.groupBy(F.col("doc_id").alias("__mix_key")).agg(F.sum(times).alias("__mix_all"), F.count("*").alias("__mix_rows")), "mix-copies")
+    keyed = docs.withColumn("__mix_key", key)
+    out = keyed.join(copies.filter("__mix_rows = 1"), "__mix_key").withColumn("__mix_n", F.col("__mix_all"))
+    again = copies.sparkSession.read.schema(copies.schema).parquet(copies._staged_at).filter("__mix_rows > 1")
+    if not again.isEmpty():
+        # equal rows are counted first; what a key's rows are taken is dealt out by running sums over its different rows
+        others = F.xxhash64(F.to_json(F.struct(*[c for c in names if c not in ("doc_id", "text")])))
+        same = keyed.join(again, "__mix_key").groupBy("__mix_key", "__mix_all", "__mix_rows", others.alias("__mix_like")).agg(*[F.first(c).alias(c) for c in names], F.count("*").alias("__mix_same"))
+        until = F.sum("__mix_same").over(Window.partitionBy("__mix_key").orderBy("__mix_like"))
+        dealt = lambda n: F.expr(f"({n}) * __mix_all div __mix_rows")
+        same = same.withColumn("__mix_until", until).withColumn("__mix_n", dealt("__mix_until") - dealt("__mix_until - __mix_same"))
+        out = out.select(*names, "__mix_n").unionByName(same.select(*names, "__mix_n"))
+    return out.filter("__mix_n > 0").withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_n")))).select(*names)
