@@ -1,4 +1,12 @@
-"""From raw documents to token ids: five stages, each a written table that the next one reads."""
+"""From raw documents to token ids: five stages, each a written table that the next one reads.
+
+Defined results: the columns of documents may hold nulls and stand beside other
+columns, whatever their names, up to the last stage, which returns its own.  A
+null or empty text is scored like any other by the quality classifier, is a near
+duplicate of every text without words, has no secrets, stays once in the mix
+if it stays at all, and has no ids.  Rows that repeat an id and text are one
+document after the near-duplicate stage.  An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zonekeep.llm import bpe, dedup, mixing, quality, secrets
 from zonekeep.llm.queries import vocabulary
-from zonekeep.store import stage
+from zonekeep.store import discard, stage
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        before, docs = docs, stage(step(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
