@@ -2,11 +2,12 @@
 
 The vocabulary file is read from a path at run time (JSON with ``vocab``,
 ``merges`` and ``added_tokens``); nothing of it is kept here.  The distinct
-pieces of a batch are laid out in one symbol list, an index maps each adjacent
-pair that has a rank to all its positions, and the lowest active rank is
-applied to all its positions at once, which changes the lists of the pairs
-beside them.  Texts are taken in batches of a fixed number of characters, so
-memory does not follow the size of the table.
+pieces of a batch that are not known yet are laid out in one symbol list, an
+index maps each adjacent pair that has a rank to all its positions, and the
+lowest active rank is applied to all its positions at once, which changes the
+lists of the pairs beside them.  Pieces stay known, with their ids, up to a
+fixed number of bytes, and texts are taken in batches of a fixed number of
+bytes, so memory does not follow the size of the table.
 
 Defined results: a null text is an empty text and has no ids.  Added tokens
 that stand in a text become their own id, as the vocabulary's library does.
@@ -18,16 +19,21 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterator
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from zonekeep.llm.words import batches
+
 #: Fixed value: the published splitting pattern of byte-level BPE.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Characters of text whose pieces are indexed together; a longer text is a batch of its own.
-BATCH_CHARS = 16_000_000
+#: Bytes of text whose pieces are indexed together; a longer text is a batch of its own.
+BATCH_BYTES = 4_000_000
+#: Bytes of pieces whose ids are kept from batch to batch; past them the next batch starts anew.
+KNOWN_BYTES = 6_000_000
 #: Characters from which on a text is cut piece by piece.
 LONG_CHARS = 4_000_000
 
@@ -46,6 +52,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+class _Numbers(dict):
+    """Numbers pieces in the order in which they are first asked for."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        return n
+
+
 class PairIndexBPE:
     """Encoder and decoder of one byte-level vocabulary."""
 
@@ -70,6 +84,7 @@ class PairIndexBPE:
         self.added_pattern = regex.compile("|".join(map(regex.escape, longest_first))) if self.added else None
         self.find = regex.compile(PIECES).findall
         self.find_each = regex.compile(PIECES).finditer
+        self.forget()
 
     def pieces(self, text: str) -> list[str]:
         """The text cut into pieces; an added token is a piece of its own."""
@@ -166,38 +181,52 @@ class PairIndexBPE:
         counts = np.concatenate([[0], np.cumsum(alive)])
         return symbols[alive], counts[bounds]
 
-    def encode_batch(self, texts: list[str]) -> tuple[list[np.ndarray], list[str], np.ndarray, np.ndarray]:
-        """Per text the numbers of its pieces; the pieces; their ids and bounds."""
-        number: dict[str, int] = {}
-        cut = []
+    def number(self, texts: list[str]) -> list[np.ndarray]:
+        """Per text the numbers of its pieces among the known pieces; pieces that are new become known."""
+        if self.known_bytes > KNOWN_BYTES:
+            self.forget()
+        known, before, cut = self.known, len(self.known), []
         for text in texts:
-            if len(text) <= LONG_CHARS:
-                cut.append(np.array([number.setdefault(p, len(number)) for p in self.pieces(text)], np.int64))
-            else:  # piece by piece, so that the pieces of a very long text are never held together
-                cut.append(np.fromiter((number.setdefault(p, len(number)) for p in self._each_piece(text)), np.int64))
-        ids, bounds = self.learn([p if p not in self.added else "" for p in number])
-        for token in self.added.keys() & number.keys():  # an added token has its own id
-            k = number[token]
-            ids = np.insert(ids, bounds[k], self.added[token])
-            bounds[k + 1 :] += 1
-        return cut, list(number), ids, bounds
+            # a very long text is cut piece by piece, so that its pieces are never held together
+            pieces = self.pieces(text) if len(text) <= LONG_CHARS else self._each_piece(text)
+            cut.append(np.fromiter(map(known.__getitem__, pieces), np.int32))
+        fresh = list(islice(known, before, None))
+        if fresh:
+            self.known_bytes += sum(map(len, fresh))
+            ids, bounds = self.learn([p if p not in self.added else "" for p in fresh])
+            for k, piece in enumerate(fresh):
+                if piece in self.added:  # an added token has its own id
+                    ids = np.insert(ids, bounds[k], self.added[piece])
+                    bounds[k + 1 :] += 1
+            self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
+        return cut
 
-    def encode(self, text: str) -> list[int]:
-        [cut], _, ids, bounds = self.encode_batch([text])
-        return ids[ragged(bounds[cut], bounds[cut + 1] - bounds[cut])].tolist()
+    def forget(self) -> None:
+        self.known = _Numbers()
+        self.known_bytes = 0
+        self.ids, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.shown: list[str] = []
 
-    def decode(self, ids) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
+    def ids_of(self, cut: np.ndarray) -> np.ndarray:
+        """Ids of the pieces with the given numbers, one after the other."""
+        return self.ids[ragged(self.bounds[cut], self.bounds[cut + 1] - self.bounds[cut])]
 
+    def id_texts(self) -> list[str]:
+        """Of each known piece its decimal ids, joined by commas."""
+        at = len(self.shown)
+        flat, bounds = self.ids[self.bounds[at] :].tolist(), (self.bounds[at:] - self.bounds[at]).tolist()
+        self.shown += [",".join(map(str, flat[a:b])) for a, b in pairwise(bounds)]
+        return self.shown
 
-def _spans(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes of text each, one row at least."""
-    from zonekeep.llm.words import batches
+    def encode(self, text: str) -> list[int]:
+        return self.ids_of(self.number([text])[0]).tolist()
 
-    yield from batches(column, limit)
+    def decode(self, ids) -> str:
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: bool = True, digests: bool = True, batch_chars: int = BATCH_CHARS) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: bool = True, digests: bool = True, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``keep`` columns, n_tokens, and as asked ids (array of int) and digests (ids_sha256, decoded_sha256) of every whole text.
 
     ``decoded_sha256`` is of the text decoded again from the ids.  The
@@ -208,25 +237,26 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", keep:
     schema += ", ids array<int>" * ids + ", ids_sha256 string, decoded_sha256 string" * digests
     names = [*keep, "n_tokens"] + ["ids"] * ids + ["ids_sha256", "decoded_sha256"] * digests
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = PairIndexBPE(vocabulary)
-        for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            for begin, end in _spans(column, batch_chars):
-                texts = [t or "" for t in column.slice(begin, end - begin).to_pylist()]
-                cut, pieces, flat, bounds = bpe.encode_batch(texts)
-                lengths = np.diff(bounds)
-                tokens = [flat[ragged(bounds[c], lengths[c])] for c in cut]
-                out = [batch.column(i).slice(begin, end - begin) for i in range(batch.num_columns - 1)]
-                out.append(pa.array([len(t) for t in tokens], pa.int64()))
+        for part in parts:
+            column = part.column(part.num_columns - 1)
+            for begin, end in batches(column, batch_bytes):
+                cut = bpe.number([t or "" for t in column.slice(begin, end - begin).to_pylist()])
+                sizes = np.diff(bpe.bounds)
+                n_tokens = np.array([sizes[c].sum() for c in cut], np.int64)
+                out = [part.column(i).slice(begin, end - begin) for i in range(part.num_columns - 1)]
+                out.append(pa.array(n_tokens))
                 if ids:
-                    offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
-                    out.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(tokens).astype(np.int32))))
+                    offsets = np.concatenate([[0], np.cumsum(n_tokens)])
+                    flat = np.empty(offsets[-1], np.int32)
+                    for c, a, b in zip(cut, offsets, offsets[1:], strict=False):
+                        flat[a:b] = bpe.ids_of(c)
+                    out.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat)))
                 if digests:
-                    shown = [",".join(map(str, flat[a:b].tolist())) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                    shown = bpe.id_texts()
                     out.append(pa.array([hashlib.sha256(",".join(map(shown.__getitem__, c.tolist())).encode()).hexdigest() for c in cut], pa.string()))
-                    del shown
-                    out.append(pa.array([hashlib.sha256(bpe.decode(t.tolist()).encode()).hexdigest() for t in tokens], pa.string()))
+                    out.append(pa.array([hashlib.sha256(bpe.decode(bpe.ids_of(c).tolist()).encode()).hexdigest() for c in cut], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
     return docs.select(*keep, text).mapInArrow(run, schema)
