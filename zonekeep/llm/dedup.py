@@ -14,7 +14,9 @@ the probability of their (weighted) Jaccard similarity.
 The signatures are joined by bands.  Texts with the same set are one node.
 In each band bucket the members are compared with its smallest and its largest
 node, never all with all, and every pair is verified by the exact Jaccard
-similarity of the two sets of 64-bit shingle hashes.  Nodes that stay apart though they share a
+similarity of the two shingle sets, held as 32-bit hashes of the shingles (of two
+sets of n and m shingles n m / 2^32 are expected to match by chance: 2e-5 at
+300, one in 200,000 of the shingles at 20,000).  Nodes that stay apart though they share a
 bucket are dealt anew: leaders drawn from the bucket's still separate components
 are compared with its members for a few rounds.  What is apart then is settled
 exactly: over all nodes of the buckets that are still apart, a prefix join finds
@@ -133,7 +135,7 @@ def _nodes(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, bands: int, rows: int, words: int) -> DataFrame:
-    """doc_id, row_key, node, keys (array of long, one for each band) and shingles (binary, eight bytes each) of every text."""
+    """doc_id, row_key, node, keys (array of long, one for each band) and shingles (binary, four bytes each) of every text."""
     names = ["doc_id", "row_key", "node", "keys", "shingles"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +143,8 @@ def signed(docs: DataFrame, bands: int, rows: int, words: int) -> DataFrame:
             for begin, end in batches(part.column(2), 1 << 20):
                 shingles, at = shingle_sets(part.column(2).slice(begin, end - begin), words)
                 keys = band_keys(dart_signatures(shingles, at, bands * rows), bands, rows).view(np.int64)
-                held = [shingles[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                small = (shingles >> _U(32)).astype(np.uint32)
+                held = [small[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 offsets = np.arange(0, (end - begin + 1) * bands, bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).slice(begin, end - begin), part.column(1).slice(begin, end - begin), pa.array(_nodes(shingles, at)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())), pa.array(held, pa.binary())],
@@ -160,7 +163,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         for part in parts:
             keep = np.zeros(part.num_rows, bool)
             for i in range(part.num_rows):
-                s, t = np.frombuffer(part.column(2)[i].as_buffer(), np.uint64), np.frombuffer(part.column(3)[i].as_buffer(), np.uint64)
+                s, t = np.frombuffer(part.column(2)[i].as_buffer(), np.uint32), np.frombuffer(part.column(3)[i].as_buffer(), np.uint32)
                 if min(len(s), len(t)) < similarity * max(len(s), len(t)):
                     continue
                 both = np.sort(np.concatenate([s, t]), kind="stable")
@@ -183,16 +186,18 @@ def _remaining(held: DataFrame, similarity: float) -> DataFrame:
         for part in parts:
             for begin in range(0, part.num_rows, 64):
                 piece = part.slice(begin, 64)
-                sets = [np.unique(np.frombuffer(s, np.uint64)) for s in piece.column(2).to_pylist()]
-                size = np.array([len(s) for s in sets], np.int32)
-                at = pa.array(np.repeat(np.arange(len(sets)), size))
-                yield pa.RecordBatch.from_arrays([piece.column(0).take(at), piece.column(1).take(at), pa.array(np.repeat(size, size)), pa.array(np.concatenate(sets).view(np.int64))], names=["node", "root", "size", "token"])
+                sets = [np.unique(np.frombuffer(s, np.uint32)) for s in piece.column(1).to_pylist()]
+                at = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+                yield pa.RecordBatch.from_arrays([piece.column(0).take(at), pa.array(np.concatenate(sets).view(np.int32))], names=["node", "token"])
 
-    tokens = held.select("node", "root", "shingles").mapInArrow(run, "node long, root long, size int, token long")
+    exploded = lambda df, key: df.select(key, "shingles").mapInArrow(run, "node long, token int")
     # a token of one root only is never common to a pair, and where it stands among its like does not matter
-    common = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token", "n")
-    placed = tokens.join(common, "token").groupBy("node").agg(F.first("root").alias("root"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
+    common = exploded(held, "root").groupBy(F.col("token")).agg(F.count("*").alias("n"), F.min("node").alias("x"), F.max("node").alias("y")).filter("x <> y").select("token", "n")
+    placed = exploded(held, "node").join(common, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
+    placed = placed.join(held.select("node", "root", (F.octet_length("shingles") / 4).cast("int").alias("size")), "node")
     placed = placed.withColumn("own", F.col("size") - F.size("held"))
+    # a little below the asked similarity, as shingles of one set may share a token
+    similarity -= 1e-3
     reach = F.expr(f"size - cast(ceil(size * {similarity!r}D - 1e-6) as int) + 1 - own")
     prefix = placed.select("node", "root", "size", "own", F.posexplode(F.slice("held", 1, F.greatest(reach, F.lit(0)))).alias("p", "h"))
     prefix = stage(prefix.select("node", "root", "size", (F.col("own") + F.col("p")).alias("place"), F.col("h.token").alias("token")), "dedup-prefix")
