@@ -10,11 +10,12 @@ it holds none, the text has no hash there.  The sparse ones keep a few terms of
 a long text, which outlive an edit elsewhere in it; the dense ones keep a few
 terms of a short text, and change with any edit of a long one.
 
-A fingerprint lists for each sub-lexicon with terms its number, how many terms
-it has (15 at most) and their hash.  Likeness of two fingerprints is the share
-of equal hashes under the sub-lexicons that hold FEW terms of either at most,
-and a term of one at least; where there are none, under the sparsest that hold
-a term.  So it is 1 for equal texts, and near the share of terms in common.
+A fingerprint lists the whole lexicon's hash and, of each family, the hashes under
+the sub-lexicons that hold 1 to FEW terms of the text (if there are none, under
+the sparsest that holds any); denser ones are not listed.  Likeness of two fingerprints is the share of equal hashes
+among the sub-lexicons that either lists, without those that are denser than all
+that the other one lists of the family.  So it is 1 for equal texts, and near
+the share of terms in common.
 
 The band bounds the lexicon: every term in it is in band[0] of all documents at
 least, so there are no more of them than the mean number of distinct terms of a
@@ -29,7 +30,6 @@ doc_id (null first) and then of text, so repeated ids are allowed.
 from __future__ import annotations
 
 import hashlib
-from base64 import b64decode, b64encode
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +46,7 @@ from zonekeep.store import stage
 BAND = (5e-4, 1e-1)
 #: Families of sub-lexicons, and in each the powers of 1/4 with which it holds a term.
 FAMILIES, DENSITIES = 28, range(9)
-#: Terms of a text under a sub-lexicon up to which it counts for likeness.
+#: Terms of a text under a sub-lexicon up to which it is listed.
 FEW = 3
 _U = np.uint64
 _SALTS = mix(np.arange(1, FAMILIES + 2, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
@@ -98,9 +98,10 @@ class IMatch:
         return self.terms[np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)] == terms
 
     def signatures(self, texts: pa.Array) -> np.ndarray:
-        """For each text and sub-lexicon the number of its terms and 20 bits of their hash in one value, zero for no term."""
+        """For each text and sub-lexicon 16 bits of the hash of its terms, zero where it is not listed."""
         n = len(texts)
-        out = np.zeros((n, FAMILIES, len(DENSITIES)), np.uint32)
+        out = np.zeros((n, FAMILIES, len(DENSITIES)), np.uint16)
+        few = np.zeros(out.shape, bool)
         for begin, end in batches(texts):
             at, terms = distinct_terms(texts.slice(begin, end - begin))
             inside = self._inside(terms)
@@ -120,35 +121,41 @@ class IMatch:
                     if not len(left):
                         break
                     first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
-                    held = np.minimum(np.diff(np.append(first, len(where))), 15).astype(np.uint32)
                     # terms are sorted and distinct, so equal sets of terms have equal sums
                     sums = mix(np.add.reduceat(hashes[left], first) + _U(f * 16 + d))
-                    out[begin + where[first], f, d] = held << 20 | (sums >> _U(44)).astype(np.uint32)
-        return out.reshape(n, -1)
+                    out[begin + where[first], f, d] = 1 + sums % _U(65535)
+                    few[begin + where[first], f, d] = np.diff(np.append(first, len(where))) <= FEW
+        sparsest = (out > 0).sum(axis=2, keepdims=True) - 1  # a sub-lexicon holds a term only where the denser ones do
+        listed = few | (np.arange(len(DENSITIES)) == sparsest) & ~few.any(axis=2, keepdims=True)
+        listed[:, 0, 0] = True
+        return np.where(listed, out, 0).astype(np.uint16).reshape(n, -1)
 
     @staticmethod
-    def show(signatures: np.ndarray) -> list[str]:
-        """Base 64 of four bytes for each sub-lexicon with terms: its number, how many terms, and their hash."""
-        numbered = signatures | np.arange(signatures.shape[1], dtype=np.uint32) << 24
-        return [b64encode(row[some].astype(">u4").tobytes()).decode() or "-" for row, some in zip(numbered, signatures > 0, strict=True)]
+    def bytes_of(signatures: np.ndarray) -> list[bytes]:
+        """Three bytes for each listed sub-lexicon: its number and hash."""
+        numbered = (signatures | np.arange(signatures.shape[1], dtype=np.uint32) << 16).astype(">u4")
+        return [row[some].view(np.uint8).reshape(-1, 4)[:, 1:].tobytes() for row, some in zip(numbered, signatures > 0, strict=True)]
 
     @staticmethod
-    def read(fingerprint: str) -> np.ndarray:
-        row = np.zeros(FAMILIES * len(DENSITIES), np.uint32)
-        some = np.frombuffer(b64decode(fingerprint), ">u4").astype(np.uint32) if fingerprint != "-" else row[:0]
-        row[some >> 24] = some & 0xFFFFFF
+    def read(fingerprint: bytes) -> np.ndarray:
+        row = np.zeros(FAMILIES * len(DENSITIES), np.uint16)
+        some = np.frombuffer(fingerprint, np.uint8).reshape(-1, 3).astype(np.uint16)
+        row[some[:, 0]] = some[:, 1] << 8 | some[:, 2]
         return row
 
     @staticmethod
     def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        most = np.maximum(a, b) >> 20
-        some = most > 0
-        density = np.tile(np.arange(len(DENSITIES)), FAMILIES)
-        counted = some & (most <= FEW)
-        sparsest = np.where(some, density, -1).max(axis=1, initial=-1)
-        counted |= some & (density == sparsest[:, None]) & ~counted.any(axis=1)[:, None]
+        shape = (len(a), FAMILIES, len(DENSITIES))
+
+        def denser(x: np.ndarray) -> np.ndarray:
+            """Not listed though a sparser one is."""
+            listed = x.reshape(shape) > 0
+            after = np.logical_or.accumulate(listed[:, :, ::-1], axis=2)[:, :, ::-1]
+            return (after & ~listed).reshape(x.shape)
+
+        counted = ((a > 0) | (b > 0)) & ~denser(a) & ~denser(b)
         n = counted.sum(axis=1)
-        return np.where(n > 0, ((a == b) & counted).sum(axis=1) / np.maximum(n, 1), (~some.any(axis=1)).astype(float))
+        return np.where(n > 0, ((a == b) & counted).sum(axis=1) / np.maximum(n, 1), (~(a.any(axis=1) | b.any(axis=1))).astype(float))
 
 
 def _edited(text: str, following: str) -> str:
@@ -180,7 +187,7 @@ def _unpacked(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[tuple[pa.
         yield batch.column(0).slice(begin, len(texts)), texts
 
 
-_OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_OUT = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _NAMES = [x.split()[0] for x in _OUT.split(", ")]
 
 
@@ -190,9 +197,9 @@ def _rows(match: IMatch, ids: pa.Array, texts: list[str], following: list[str],
     return [
         ids,
         pa.array([len(t) for t in texts], pa.int64()),
-        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-        pa.array(match.show(own), pa.string()),
-        pa.array(match.show(theirs), pa.string()),
+        pa.array([hashlib.sha256(t.encode()).digest() for t in edited], pa.binary()),
+        pa.array(match.bytes_of(own), pa.binary()),
+        pa.array(match.bytes_of(theirs), pa.binary()),
         pa.array(match.likeness(own, theirs), pa.float64()),
         pa.array(match.likeness(own, after), pa.float64()),
     ]
@@ -220,8 +227,8 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) ->
             return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array([edge] * n, pa.string()), *columns], names=["kind", "part", "edge_text", *_NAMES])
 
         def edge_row(kind: int, ids: pa.Array, text: str, own: np.ndarray) -> pa.RecordBatch:
-            none = pa.array([None], pa.string())
-            return give(kind, [ids, pa.array([len(text)], pa.int64()), none, pa.array(match.show(own[None]), pa.string()), none, pa.array([None], pa.float64()), pa.array([None], pa.float64())], text)
+            none = pa.array([None], pa.binary())
+            return give(kind, [ids, pa.array([len(text)], pa.int64()), none, pa.array(match.bytes_of(own[None]), pa.binary()), none, pa.array([None], pa.float64()), pa.array([None], pa.float64())], text)
 
         for batch in parts:
             for ids, texts in _unpacked(batch):
@@ -257,4 +264,6 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) ->
                 text, own, following, after = (batch.column(c)[i].as_py() for c in range(1, 5))
                 yield pa.RecordBatch.from_arrays(_rows(match, ids, [text], [following], match.read(own)[None], match.read(after)[None]), names=_NAMES)
 
-    return found.filter("kind = 0").select(*_NAMES).unionByName(edges.mapInArrow(finish, _OUT))
+    out = found.filter("kind = 0").select(*_NAMES).unionByName(edges.mapInArrow(finish, _OUT))
+    shown = {c: F.when(F.octet_length(c) > 0, F.base64(c)).otherwise("-") for c in ("fingerprint", "edited_fingerprint")}
+    return out.withColumns(shown | {"edited_sha256": F.lower(F.hex("edited_sha256"))})
