@@ -336,8 +336,9 @@ class LogBilinear:
             good = np.einsum("ij,ij->i", guess, qw) + bias[at[:m]]
             bad = guess @ qo.T + bias[at[m:]]
             # ascent on log sigma(good) + sum log(1 - sigma(bad))
-            up = 1.0 / (1.0 + np.exp(np.clip(good, -30, 30)))
-            down = -1.0 / (1.0 + np.exp(np.clip(-bad, -30, 30)))
+            with np.errstate(over="ignore"):  # 1 / (1 + inf) is 0
+                up = 1.0 / (1.0 + np.exp(good))
+                down = -1.0 / (1.0 + np.exp(-bad))
             d_guess = up[:, None] * qw + down @ qo
             near_rows, near_at = np.unique(np.concatenate([n1, n2]), return_inverse=True)
             gains = (
