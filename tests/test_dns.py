@@ -40,7 +40,7 @@ def test_latest_pass_wins_with_its_records(spark):
     first = lines(spark, [{"name": "X.RO.", "results": {"A": result("TIMEOUT", error="t"), "MX": result(answers=[{"type": "MX", "answer": "m", "preference": 5}])}}])
     second = lines(spark, [{"name": "x.ro", "results": {"A": result(answers=[a, a | {"answer": "2.2.2.2"}, {"type": "EDNS0"}, {"answer": None}])}}])
     passes = [(f"pass{i}", dns.parse_lines(p)) for i, p in enumerate((first, second), 1)]
-    won = dns.consolidate(dns.lookups(passes))
+    won = dns.consolidate(dns.lookups(dns.passes_of(passes)))
     got = {r["query_type"]: r for r in dns.query_results(won).collect()}
     assert (got["A"]["status"], got["A"]["attempt_sequence"], got["A"]["record_count"], got["A"]["error_class"]) == ("NOERROR", 2, 3, None)
     assert (got["MX"]["source_pass"], got["MX"]["duration_ms"], got["MX"]["authoritative"], got["MX"]["truncated"]) == ("pass1", 12.346, 1, None)
@@ -53,7 +53,7 @@ def test_latest_pass_wins_with_its_records(spark):
 def test_record_values(spark):
     rr = [{"type": "CAA", "value": "v", "flag": 0, "tag": "issue"}, {"type": "SVCB", "target": "t"}, {"type": "DS", "digest": "d", "key_tag": 9}, {"type": "DNSKEY"}, {"type": "SOA", "ns": "n", "min_ttl": 4}, {"type": "TXT"}]
     parsed = dns.parse_lines(lines(spark, [{"name": "a.ro", "results": {"A": result(answers=rr)}}]))
-    got = dns.dns_records(dns.consolidate(dns.lookups([("p", parsed)]))).orderBy("position").collect()
+    got = dns.dns_records(dns.consolidate(dns.lookups(dns.passes_of([("p", parsed)])))).orderBy("position").collect()
     assert [r["value"] for r in got] == ["v", "t", "d", "", "n", None]
     assert (got[0]["flags"], got[0]["tag"], got[2]["key_tag"], got[4]["minimum_ttl"]) == ("0", "issue", 9, 4)
     assert got[0]["rdata_json"] == '{"flag":0,"tag":"issue","value":"v"}'
@@ -61,7 +61,7 @@ def test_record_values(spark):
 
 def test_status_missing_and_null(spark):
     parsed = dns.parse_lines(lines(spark, [{"name": "a.ro", "results": {"A": {}, "MX": {"status": None}, "NS": {"status": "servfail"}, "ANY": {"status": "ERROR"}}}]))
-    got = {r["query_type"]: r["status"] for r in dns.query_results(dns.consolidate(dns.lookups([("p", parsed)]))).collect()}
+    got = {r["query_type"]: r["status"] for r in dns.query_results(dns.consolidate(dns.lookups(dns.passes_of([("p", parsed)])))).collect()}
     assert got == {"A": "MISSING", "MX": "NONE", "NS": "SERVFAIL", "ANY": "ERROR"}
     assert [r["line"] for r in dns.retry_queue(parsed).collect()] == ["a.ro,,retry-a,retry-mx,retry-ns"]
     assert [r["line"] for r in dns.retry_queue(parsed, ("error", " ServFail ")).collect()] == ["a.ro,,retry-ns"]

@@ -29,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
         one = sub.add_parser(name)
         one.add_argument("--source", required=True)
         one.add_argument("--path", required=True)
-        one.add_argument("--observed-at", required=True)
+        one.add_argument("--observed-at")
     one = sub.add_parser("export")
     one.add_argument("--output", required=True)
     one.add_argument("--public-only", action="store_true")

@@ -48,10 +48,6 @@ def to_milliseconds(seconds: Column) -> Column:
     return F.round(seconds.cast("double") * 1000, 3)
 
 
-def flag_number(flag: Column) -> Column:
-    return flag.cast("boolean").cast("int")
-
-
 def retry_trigger(query_type: Column) -> Column:
     """The name that asks the prober for one more try, null for types that cannot be retried."""
     return F.when(query_type.isin(*RETRY_TYPES), F.concat(F.lit("retry-"), F.lower(query_type)))

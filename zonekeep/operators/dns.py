@@ -8,55 +8,72 @@ and one that is JSON null can be told apart.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonekeep.functions.scalars import FINAL_STATUSES, RETRY_TYPES, classify_error, clean_name, retry_trigger, to_milliseconds
 
 LINE = "name string, results map<string,variant>"
-QUERY_COLUMNS = "domain query_type status queried_at duration_ms resolver protocol source_pass attempt_sequence error_class authoritative authenticated recursion_available truncated record_count".split()
-RECORD_COLUMNS = "domain query_type section owner_name record_type ttl value preference priority weight port flags tag algorithm key_tag digest_type serial refresh retry expire minimum_ttl rdata_json source_pass".split()
+# The columns of the two published tables, in order.
+QUERY_COLUMNS = [
+    "domain", "query_type", "status", "queried_at", "duration_ms", "resolver",
+    "protocol", "source_pass", "attempt_sequence", "error_class", "authoritative", "authenticated",
+    "recursion_available", "truncated", "record_count",
+]
+RECORD_COLUMNS = [
+    "domain", "query_type", "section", "owner_name", "record_type", "ttl",
+    "value", "preference", "priority", "weight", "port", "flags",
+    "tag", "algorithm", "key_tag", "digest_type", "serial", "refresh",
+    "retry", "expire", "minimum_ttl", "rdata_json", "source_pass",
+]
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """line_no (order in the file) and value of a JSON lines file, compressed or not."""
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.make_valid_utf8("value").alias("value"))
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.make_valid_utf8("value").alias("value"))
+    # one task reads a compressed file; the lines are dealt out before they are parsed
+    return lines.repartition("line_no") if path.endswith(".gz") else lines
 
 
-def parse_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
-    """line_no, name, results, invalid of result lines; ``strict`` raises at a line that is no JSON."""
+def parse_lines(lines: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """line_no, name, results, invalid and ``keep`` of result lines; ``strict`` raises at a line that is no JSON."""
     valid = F.try_parse_json("value").isNotNull()
     if strict:
         checked = F.when(valid, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("Invalid JSON at line "), (F.col("line_no") + 1).cast("string"))))
     else:
         checked = F.when(valid, F.col("value"))
-    rows = lines.select("line_no", checked.alias("value"), (~valid).alias("invalid"))
+    rows = lines.select("line_no", checked.alias("value"), (~valid).alias("invalid"), *keep)
     rows = rows.withColumn("r", F.from_json("value", LINE))
-    return rows.select("line_no", F.col("r.name").alias("name"), F.col("r.results").alias("results"), "invalid")
+    return rows.select("line_no", F.col("r.name").alias("name"), F.col("r.results").alias("results"), "invalid", *keep)
 
 
 def _get(v: str, path: str, kind: str) -> Column:
     return F.expr(f"try_variant_get({v}, '$.{path}', '{kind}')")
 
 
+def _status(result: Column) -> Column:
+    raw = F.try_variant_get(result, "$.status", "variant")
+    return F.when(raw.isNull(), "MISSING").when(F.is_variant_null(raw), "NONE").otherwise(F.upper(F.try_variant_get(result, "$.status", "string")))
+
+
 def status_of(result: str) -> Column:
     """Upper-case status; MISSING where there is none, NONE for JSON null."""
-    raw = _get(result, "status", "variant")
-    return F.when(raw.isNull(), "MISSING").when(F.is_variant_null(raw), "NONE").otherwise(F.upper(_get(result, "status", "string")))
-
-
-def lookups(passes: list[tuple[str, DataFrame]]) -> DataFrame:
-    """One row for each name and query type of each pass, given in order as (name, parsed lines)."""
-    out = None
-    for sequence, (name, parsed) in enumerate(passes, 1):
-        rows = parsed.select(clean_name(F.col("name")).alias("domain"), "line_no", F.explode("results").alias("query_type", "result"))
-        rows = rows.withColumn("source_pass", F.lit(name)).withColumn("attempt_sequence", F.lit(sequence))
-        out = rows if out is None else out.unionByName(rows)
-    if out is None:
+    return _status(F.col(result))
+
+
+def passes_of(passes: list[tuple[str, DataFrame]]) -> DataFrame:
+    """Parsed lines of passes given in order as (name, parsed lines), with source_pass and attempt_sequence."""
+    if not passes:
         raise ValueError("no passes given")
-    return out
+    rows = [parsed.withColumn("source_pass", F.lit(name)).withColumn("attempt_sequence", F.lit(k)) for k, (name, parsed) in enumerate(passes, 1)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def lookups(parsed: DataFrame) -> DataFrame:
+    """One row for each name and query type of each pass of parsed lines with source_pass and attempt_sequence."""
+    return parsed.select(clean_name(F.col("name")).alias("domain"), "line_no", F.explode("results").alias("query_type", "result"), "source_pass", "attempt_sequence")
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -66,12 +83,20 @@ def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return best.select(*keys, *[F.col(f"best.{c}").alias(c) for c in rest])
 
 
+def _in_section(section: str, rr: Column) -> Column:
+    return F.struct(F.lit(section).alias("section"), rr.alias("rr"))
+
+
 def _records_of(result: str) -> Column:
+    return _records(F.col(result))
+
+
+def _records(result: Column) -> Column:
     """Resource records of the three sections, without the EDNS0 pseudo records."""
     parts = []
     for key, section in (("answers", "answer"), ("authorities", "authority"), ("additionals", "additional")):
-        items = F.coalesce(_get(result, f"data.{key}", "array<variant>"), F.expr("cast(array() as array<variant>)"))
-        parts.append(F.transform(items, lambda rr, s=section: F.struct(F.lit(s).alias("section"), rr.alias("rr"))))
+        items = F.coalesce(F.try_variant_get(result, f"$.data.{key}", "array<variant>"), F.expr("cast(array() as array<variant>)"))
+        parts.append(F.transform(items, partial(_in_section, section)))
     return F.filter(F.concat(*parts), lambda x: ~F.try_variant_get(x["rr"], "$.type", "string").eqNullSafe(F.lit("EDNS0")))
 
 
@@ -117,18 +142,6 @@ def rdata_json(rr: str = "rr") -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(fields), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))), {"ignoreNullFields": "false"})
 
 
-def spaced_json(column: Column) -> Column:
-    """Compact JSON with a space after commas and colons, for outputs that must equal older ones byte for byte."""
-
-    @F.pandas_udf("string")
-    def spaced(values: pd.Series) -> pd.Series:
-        import json
-
-        return values.map(lambda v: None if v is None else json.dumps(json.loads(v), ensure_ascii=False, sort_keys=True))
-
-    return spaced(column)
-
-
 def dns_records(won: DataFrame) -> DataFrame:
     """The records of the winning lookups, with section and position for a total order."""
     rows = won.select("domain", "query_type", "source_pass", F.posexplode("records").alias("position", "r"))
@@ -149,16 +162,14 @@ def histogram(rows: DataFrame, column: str, name: str) -> DataFrame:
     return rows.groupBy(F.coalesce(F.col(column), F.lit("none")).alias(name)).agg(F.count("*").alias("n"))
 
 
-def pass_report(all_lookups: DataFrame, parsed: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Per pass: lines, lookups, records and, by status, lookups."""
-    rows = all_lookups.select("source_pass", status_of("result").alias("status"), F.size(_records_of("result")).cast("long").alias("n"))
-    by_status = rows.groupBy("source_pass", "status").agg(F.count("*").alias("lookups"), F.sum("n").alias("records"))
-    whole = by_status.groupBy("source_pass").agg(F.sum("lookups").alias("queries"), F.sum("records").alias("records"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "lookups")))).alias("statuses"))
-    names = None
-    for name, lines in parsed:
-        one = lines.agg(F.count("*").alias("domains")).withColumn("source_pass", F.lit(name))
-        names = one if names is None else names.unionByName(one)
-    return names.join(whole, "source_pass", "left")
+def pass_report(parsed: DataFrame) -> DataFrame:
+    """Per pass of parsed lines with source_pass: lines, lookups, records and, by status, lookups; one aggregation of the lines."""
+    each = F.transform(F.map_values("results"), lambda r: F.struct(_status(r).alias("status"), F.size(_records(r)).cast("long").alias("n")))
+    lines = parsed.select("source_pass", F.explode_outer(each).alias("e"))
+    lines = lines.groupBy("source_pass", F.col("e.status").alias("status")).agg(F.count("e").alias("lookups"), F.sum("e.n").alias("records"))
+    by_status = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("status").isNotNull(), F.struct("status", "lookups")))))
+    whole = lines.groupBy("source_pass").agg(F.sum("lookups").alias("queries"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"), by_status.alias("statuses"))
+    return parsed.groupBy("source_pass").agg(F.count("*").alias("domains")).join(whole, "source_pass")
 
 
 def retry_queue(parsed: DataFrame, statuses: tuple[str, ...] | None = None) -> DataFrame:
@@ -167,9 +178,8 @@ def retry_queue(parsed: DataFrame, statuses: tuple[str, ...] | None = None) -> D
     Without ``statuses`` every status but the final ones counts.  The name stands as it came, the triggers in the order of the line.
     """
     entries = F.map_entries("results")
-    status = lambda e: F.upper(F.when(F.try_variant_get(e["value"], "$.status", "variant").isNull(), "MISSING").when(F.is_variant_null(F.try_variant_get(e["value"], "$.status", "variant")), "NONE").otherwise(F.try_variant_get(e["value"], "$.status", "string")))
     wanted = (lambda s: ~s.isin(*FINAL_STATUSES)) if statuses is None else (lambda s: s.isin(*[x.strip().upper() for x in statuses]))
-    chosen = F.filter(entries, lambda e: wanted(status(e)) & e["key"].isin(*RETRY_TYPES))
+    chosen = F.filter(entries, lambda e: wanted(_status(e["value"])) & e["key"].isin(*RETRY_TYPES))
     rows = parsed.filter(~F.col("invalid")).select("line_no", "name", F.transform(chosen, lambda e: retry_trigger(e["key"])).alias("triggers"))
     return rows.filter(F.size("triggers") > 0).select("line_no", F.concat(F.col("name"), F.lit(",,"), F.array_join("triggers", ",")).alias("line"))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import uuid
 
@@ -33,7 +32,7 @@ def read_text_file(spark: SparkSession, path: str) -> str | None:
     if not fs.exists(target):
         return None
     stream = fs.open(target)
-    try:
+    try:  # only pointers, settings and manifests are read this way
         return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
     finally:
         stream.close()
@@ -68,25 +67,28 @@ def export_lines(lines: DataFrame, path: str, order: list[str]) -> None:
     _single_file(lines.orderBy(*order).select("line"), lambda df: df.write.format("text").options(compression=packed, lineSep="\n"), path)
 
 
-def file_facts(spark: SparkSession, path: str) -> dict:
-    """Bytes and SHA-256 of a file, hashed where it is read."""
-    row = spark.read.format("binaryFile").load(path).select("length", F.sha2("content", 256).alias("sha256")).first()
-    return {"bytes": row["length"], "sha256": row["sha256"]}
-
-
 def content_digest(spark: SparkSession, paths: list[str]) -> str:
-    """SHA-256 over the bytes of files in the given order."""
-    if len(paths) == 1:
-        return file_facts(spark, paths[0])["sha256"]
-    digest = hashlib.sha256()
+    """SHA-256 over the bytes of files in the given order, read as a stream by the JVM: a file of any length is never held."""
+    jvm = spark._jvm
+    digest = jvm.java.security.MessageDigest.getInstance("SHA-256")
+    sink = jvm.java.security.DigestOutputStream(jvm.java.io.OutputStream.nullOutputStream(), digest)
     for path in paths:
         fs, target = _fs(spark, path)
-        stream = fs.open(target)
-        try:
-            digest.update(bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)))
-        finally:
-            stream.close()
-    return digest.hexdigest()
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(fs.open(target), sink, 1 << 20, False)
+    return bytes(digest.digest()).hex()
+
+
+def file_facts(spark: SparkSession, path: str) -> dict:
+    """Bytes and SHA-256 of a file."""
+    fs, target = _fs(spark, path)
+    return {"bytes": fs.getFileStatus(target).getLen(), "sha256": content_digest(spark, [path])}
+
+
+def check_manifest(spark: SparkSession, path: str) -> dict[str, bool]:
+    """For each file named in a manifest beside it, whether its bytes and digest are still as published."""
+    facts = json.loads(read_text_file(spark, path) or "{}")
+    folder = path.rsplit("/", 1)[0]
+    return {name: file_facts(spark, f"{folder}/{name}") == {k: f[k] for k in ("bytes", "sha256")} for name, f in facts.items() if isinstance(f, dict) and "sha256" in f}
 
 
 def write_manifest(spark: SparkSession, path: str, facts: dict) -> None:

@@ -14,6 +14,7 @@ from zonekeep.store import stage
 #: Passes by name and folder, and the statuses that each later pass tries again (None: every status that is not final).
 PASSES = (("pass1", "pass1"), ("pass2", "pass2"), ("pass3", "pass3"), ("pass4_local_errors", "pass4-local-errors"), ("pass5_final_local_errors", "pass5-final-local-errors"))
 RETRIES: tuple[tuple[str, tuple[str, ...] | None], ...] = (("pass2", None), ("pass3", None), ("pass4_local_errors", ("ERROR",)), ("pass5_final_local_errors", ("ERROR",)))
+# Fixed value: the note in the row of a snapshot.
 _NOTE = "Later passes replace earlier results for the same domain and query type."
 
 
@@ -46,8 +47,8 @@ def consolidate_run(spark: SparkSession, run_dir: str, out: str, passes: tuple[t
     if not files:
         raise FileNotFoundError(f"no pass results under {run_dir}")
     parsed = [(name, dns.parse_lines(dns.read_lines(spark, path))) for name, _, path in files]
-    every = dns.lookups(parsed)
-    won = stage(dns.consolidate(every).withColumn("result", F.to_json("result")).drop("records"), "dns-won").withColumn("result", F.parse_json("result"))
+    every = dns.passes_of(parsed)
+    won = stage(dns.consolidate(dns.lookups(every)).withColumn("result", F.to_json("result")).drop("records"), "dns-won").withColumn("result", F.parse_json("result"))
     won = won.withColumn("records", dns._records_of("result"))
     dns.query_results(won).write.mode("overwrite").parquet(f"{out}/query_results")
     dns.dns_records(won).write.mode("overwrite").parquet(f"{out}/dns_records")
@@ -70,7 +71,7 @@ def consolidate_run(spark: SparkSession, run_dir: str, out: str, passes: tuple[t
         "statuses": counts(results, "status"),
         "error_classes": counts(results, "error_class"),
         "record_types": counts(records, "record_type"),
-        "passes": [r.asDict(recursive=True) for r in dns.pass_report(every, parsed).collect()],
+        "passes": [r.asDict(recursive=True) for r in dns.pass_report(every).collect()],
     }
     if export_dir:
         summary["exports"] = {}

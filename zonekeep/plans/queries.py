@@ -17,6 +17,7 @@ from zonekeep.functions import scalars
 from zonekeep.functions.hostname import HostRules, add_host, add_native_host
 from zonekeep.operators import dns, quality, registry
 from zonekeep.sources import catalog, lists
+from zonekeep.store import stage
 from zonekeep.streaming import ingest
 
 PAGE_RULES = HostRules(("com", "net", "org"), ("example.com", "example.net", "example.org"))
@@ -79,14 +80,15 @@ def suffix_prefilter(spark, d):
 
 
 @_query(
-    """WITH raw AS (SELECT url AS raw FROM pages UNION ALL SELECT s_name FROM supplier)
-    SELECT count(*) AS rows_read, count(*) FILTER (raw LIKE 'http%://%.example.%') AS hostnames_accepted, count(*) FILTER (NOT raw LIKE 'http%://%.example.%') AS rejected FROM raw"""
+    f"""WITH raw AS (SELECT url AS raw FROM pages UNION ALL SELECT s_name FROM supplier), hosts AS (SELECT {_URL_HOST} AS h FROM pages)
+    SELECT count(*) AS rows_read, count(*) FILTER (raw LIKE 'http%://%.example.%') AS hostnames_accepted, count(*) FILTER (NOT raw LIKE 'http%://%.example.%') AS rejected,
+    (SELECT count(DISTINCT h) FROM hosts) AS hostnames_new, (SELECT count(DISTINCT array_to_string(list_slice(string_split(h, '.'), -3, -1), '.')) FROM hosts) AS domains_new FROM raw"""
 )
 def normalize_reject_counts(spark, d):
     raw = _t(spark, d, "pages").select("url").union(_t(spark, d, "supplier").select("s_name"))
     seen = raw.select(F.lit("").alias("seq"), F.col("url").alias("raw"), F.lit(None).cast("long").alias("rank"), F.lit(None).cast("string").alias("metadata"), F.lit(True).alias("offered"), F.lit(False).alias("short"))
     empty = spark.createDataFrame([], "domain string, hostname string")
-    return registry.run_counters(registry.normalise(seen, PAGE_RULES), empty, empty).select("rows_read", "hostnames_accepted", "rejected")
+    return registry.run_counters(stage(registry.normalise(seen, PAGE_RULES), "normalised"), empty, empty)
 
 
 @_query("SELECT c_custkey, try_cast(trim(replace(replace(c_name, 'Customer#', ' 1,'), ',', '')) AS BIGINT) AS rank, try_cast(c_name AS BIGINT) AS bad FROM customer")
@@ -209,8 +211,11 @@ def registry_new_keys(spark, d):
     FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS row_number FROM events) GROUP BY user_id"""
 )
 def first_non_null_metadata(spark, d):
-    rows = _t(spark, d, "events").withColumn("p", F.when(F.col("event_id") % 3 != 0, F.col("props")))
-    return rows.groupBy("user_id").agg(F.min_by("p", F.when(F.col("p").isNotNull(), F.struct("ts", "event_id"))).alias("props"))
+    rows = _t(spark, d, "events").select(
+        F.col("user_id").alias("domain"), F.lit("s").alias("source_id"), F.struct("ts", "event_id").alias("ord"), F.lit("x").alias("first_seen_at"), F.lit("x").alias("last_seen_at"),
+        F.lit(1).cast("long").alias("occurrences"), F.lit(None).cast("long").alias("best_rank"), F.when(F.col("event_id") % 3 != 0, F.col("props")).alias("metadata_json"),
+    )
+    return registry.fold_sources(rows, "domain", True).select(F.col("domain").alias("user_id"), F.col("metadata_json").alias("props"))
 
 
 _PROV = """SELECT domain, unicode_domain, first_seen_at, last_seen_at, count(DISTINCT source_id) AS source_count, string_agg(DISTINCT source_id, ',' ORDER BY source_id) AS sources
@@ -249,18 +254,6 @@ def stats_by_source(spark, d):
     return registry.stats_by_source(_domain_sources(spark, d), _sources(spark, d))
 
 
-@_query(
-    """SELECT (SELECT count(*) FROM customer WHERE c_mktsegment NOT LIKE '%E%') AS invalid_suffix, (SELECT count(*) FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderdate > l.l_shipdate) AS invalid_seen_order,
-    (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)) AS orphan_hostnames, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS unfinished_imports"""
-)
-def verify_checks(spark, d):
-    orders, customer, line = _t(spark, d, "orders"), _t(spark, d, "customer"), _t(spark, d, "lineitem")
-    suffix = customer.agg(F.count_if(~F.contains("c_mktsegment", F.lit("E"))).alias("invalid_suffix"))
-    order = orders.join(line, F.col("l_orderkey") == F.col("o_orderkey")).agg(F.count_if(quality.seen_out_of_order("o_orderdate", "l_shipdate")).alias("invalid_seen_order"))
-    lost = quality.orphans(orders, "o_custkey", customer.filter("c_acctbal >= 0"), "c_custkey").agg(F.count("*").alias("orphan_hostnames"))
-    return suffix.crossJoin(order).crossJoin(lost).crossJoin(orders.agg(F.count_if(F.col("o_orderstatus") == "P").alias("unfinished_imports")))
-
-
 @_query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 def pk_duplicates(spark, d):
     return quality.duplicate_keys(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -280,21 +273,6 @@ def public_semi_join(spark, d):
     return registry.only_public(rows, public).groupBy("l_suppkey").agg(F.count("*").alias("n"))
 
 
-@_query("SELECT l_partkey::VARCHAR AS domain, l_suppkey::VARCHAR AS source_id, count(*) AS occurrences FROM lineitem GROUP BY ALL")
-def idempotent_reimport(spark, d):
-    """The same batch offered twice, by digest: what was completed is skipped."""
-    seen = _sightings(spark, d)
-    offered = [("d1", seen), ("d1", seen)]
-    done: set[str] = set()
-    out = None
-    for digest, batch in offered:
-        if digest in done:
-            continue
-        done.add(digest)
-        out = batch if out is None else out.unionByName(batch)
-    return registry.fold_sources(out, "domain", True).select("domain", "source_id", "occurrences")
-
-
 @_query(
     """SELECT s_suppkey AS source_id, s_name || CASE WHEN s_acctbal > 0 THEN ' new' ELSE '' END AS name FROM supplier"""
 )
@@ -310,18 +288,6 @@ def sha256_rows(spark, d):
     return _t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
 
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
-
-
-@_query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _TABLES))
-def dataset_manifest(spark, d):
-    out = None
-    for t in _TABLES:
-        one = _t(spark, d, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 # ---- lookups ----
 
 _STATUS = "element_at(array('NOERROR', 'NXDOMAIN', 'SERVFAIL', 'TIMEOUT', 'REFUSED', 'ERROR', 'servfail'), cast(event_id % 7 as int) + 1)"
@@ -340,12 +306,6 @@ def consolidate_latest(spark, d):
     return dns.latest(_t(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"])
 
 
-@_query(f"SELECT user_id, event_type, unnest(json_keys(props)) AS field, json_extract_string(props, '$.k')::BIGINT AS value FROM {_LATEST} WHERE rn = 1")
-def consolidate_records(spark, d):
-    won = consolidate_latest(spark, d).withColumn("fields", F.from_json("props", "map<string,bigint>"))
-    return won.select("user_id", "event_type", F.explode("fields").alias("field", "value"))
-
-
 def _classed(spark, d) -> DataFrame:
     rows = _t(spark, d, "events").select("event_id", scalars.clean_status(F.expr(_STATUS)).alias("status"), F.expr(_ERROR).alias("error"))
     return rows.withColumn("error_class", scalars.classify_error(F.col("status"), F.col("error")))
@@ -382,20 +342,13 @@ _LINES = f"""lines AS (SELECT user_id, pass, query_type, {_D_STATUS} AS st, {_D_
     FROM (SELECT *, {_D_TYPE} AS query_type, event_id % 5 + 1 AS pass FROM events)) WHERE rn = 1)"""
 
 
-@_query(f"WITH {_LINES} SELECT 'pass' || pass AS source_pass, count(DISTINCT user_id) AS domains, count(*) AS queries, 0::BIGINT AS records FROM lines GROUP BY pass")
-def pass_report(spark, d):
-    lines = _result_lines(spark, d)
-    parsed = [(f"pass{i}", dns.parse_lines(lines.filter(F.col("pass") == i))) for i in range(1, 6)]
-    return dns.pass_report(dns.lookups(parsed), parsed).select("source_pass", "domains", "queries", "records")
-
-
 @_query(
     f"""WITH {_LINES} SELECT domain, query_type, status, attempt_sequence, source_pass FROM (
     SELECT 'u' || user_id AS domain, query_type, upper(st) AS status, pass::INT AS attempt_sequence, 'pass' || pass AS source_pass, row_number() OVER (PARTITION BY user_id, query_type ORDER BY pass DESC) AS rn FROM lines) WHERE rn = 1"""
 )
 def consolidate_passes(spark, d):
     lines = _result_lines(spark, d)
-    parsed = [(f"pass{i}", dns.parse_lines(lines.filter(F.col("pass") == i))) for i in range(1, 6)]
+    parsed = dns.parse_lines(lines, keep=("pass",)).withColumns({"source_pass": F.concat(F.lit("pass"), "pass"), "attempt_sequence": F.col("pass").cast("int")})
     return dns.query_results(dns.consolidate(dns.lookups(parsed))).select("domain", "query_type", "status", "attempt_sequence", "source_pass")
 
 
@@ -443,3 +396,6 @@ def completeness_cross(spark, d):
 @_query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL")
 def arrival_windows(spark, d):
     return ingest.arrivals(_t(spark, d, "events")).select(F.col("window.start").alias("hour"), "event_type", "n")
+
+
+from zonekeep.plans import file_queries  # noqa: E402, F401  registers the queries that go through files

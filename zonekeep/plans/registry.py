@@ -1,13 +1,17 @@
 """The stored registry: immutable versions, one pointer, one writer.
 
-A version is a folder of parquet tables.  An import writes a new version and
-then moves the pointer, so a failed import publishes nothing (its run is
-logged as failed), and readers never see half a version.
+A version is a set of folders of parquet tables.  An import writes new folders for
+the tables that it changes and then moves the pointer, which names the folder of
+every table, so a failed import publishes nothing but its line in the log of
+runs, and readers never see half a version.  Folders that neither the new nor
+the previous version names are deleted.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,27 +41,32 @@ class Registry:
     root: str
     rules: HostRules = RO_RULES
 
-    def _version(self) -> int:
-        return int(sinks.read_text_file(self.spark, f"{self.root}/CURRENT") or 0)
+    def _current(self) -> dict:
+        """The number of the current version and the folders of its tables, and those of the one before."""
+        return json.loads(sinks.read_text_file(self.spark, f"{self.root}/CURRENT") or '{"version": 0, "tables": {}, "before": {}}')
 
     def tables(self) -> dict[str, DataFrame]:
         """The current version."""
-        v = self._version()
-        if not v:
-            return {n: self.spark.createDataFrame([], s) for n, s in SCHEMAS.items()}
-        return {n: self.spark.read.schema(s).parquet(f"{self.root}/v{v:06d}/{n}") for n, s in SCHEMAS.items()}
-
-    def _publish(self, tables: dict[str, DataFrame]) -> None:
-        v = self._version() + 1
-        for name, schema in SCHEMAS.items():
-            columns = [f.split()[0] for f in schema.split(", ")]
-            tables[name].select(*columns).write.mode("overwrite").parquet(f"{self.root}/v{v:06d}/{name}")
-        sinks.write_text_file(self.spark, f"{self.root}/CURRENT", str(v))
+        folders = self._current()["tables"]
+        read = lambda n, s: self.spark.read.schema(s).parquet(f"{self.root}/{folders[n]}") if n in folders else self.spark.createDataFrame([], s)
+        return {n: read(n, s) for n, s in SCHEMAS.items()}
+
+    def _publish(self, changed: dict[str, DataFrame]) -> None:
+        now = self._current()
+        v, folders = now["version"] + 1, dict(now["tables"])
+        for name, rows in changed.items():
+            columns = [f.split()[0] for f in SCHEMAS[name].split(", ")]
+            folders[name] = f"v{v:06d}/{name}"
+            rows.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{folders[name]}")
+        sinks.write_text_file(self.spark, f"{self.root}/CURRENT", json.dumps({"version": v, "tables": folders, "before": now["tables"]}))
+        for folder in set(now["before"].values()) - set(folders.values()) - set(now["tables"].values()):
+            fs, target = sinks._fs(self.spark, f"{self.root}/{folder}")
+            fs.delete(target, True)
 
     def sync(self, catalog_path: str) -> None:
         """Create the registry or bring its source catalog up to date."""
         now = self.tables()
-        self._publish(now | {"sources": sync_catalog(now["sources"], read_catalog(self.spark, catalog_path))})
+        self._publish({"sources": stage(sync_catalog(now["sources"], read_catalog(self.spark, catalog_path)), "registry-sources")})
 
     def imported(self, source_id: str, digest: str) -> bool:
         runs = self.tables()["import_runs"]
@@ -83,17 +92,20 @@ class Registry:
             normal = stage(registry.normalise(observations(), self.rules), "registry-batch")
             counters = registry.run_counters(normal, now["domains"], now["hostnames"]).first().asDict()
             merged = registry.merge_batch(now, normal, source_id, observed_at)
-            self._publish(now | merged | {"import_runs": logged("completed", counters, None)})
+            self._publish(merged | {"import_runs": logged("completed", counters, None)})
         except Exception as e:
-            self._publish(now | {"import_runs": logged("failed", {}, str(e)[:2000])})
+            self._publish({"import_runs": logged("failed", {}, str(e)[:2000])})
             raise
         return {"source": source_id, **counters}
 
+    def _file_date(self, path: str) -> str:
+        """The day of a file's last change."""
+        fs, target = sinks._fs(self.spark, path)
+        return datetime.fromtimestamp(fs.getFileStatus(target).getModificationTime() / 1000, UTC).date().isoformat()
+
     def import_file(self, source_id: str, path: str, kind: str, column: str | None = None, rank_column: str | None = None, observed_at: str | None = None) -> dict:
         """kind: plain, csv, rank-domain-csv or domain-vertices."""
-        if observed_at is None:
-            meta = self.spark.read.format("binaryFile").load(path).select(F.date_format("modificationTime", "yyyy-MM-dd")).first()
-            observed_at = meta[0]
+        observed_at = observed_at or self._file_date(path)
         tld = self.rules.tlds
         scans = {
             "plain": lambda lines: lists.plain_list(lines, tld),
@@ -107,14 +119,16 @@ class Registry:
             raise ValueError("the csv format needs a column")
         return self.import_observations(source_id, observed_at, path, sinks.content_digest(self.spark, [path]), lambda: scans[kind](lists.text_lines(self.spark, path)))
 
-    def import_contacts(self, source_id: str, directory: str, observed_at: str) -> dict:
+    def import_contacts(self, source_id: str, directory: str, observed_at: str | None = None) -> dict:
+        observed_at = observed_at or datetime.now(UTC).date().isoformat()
         fs, folder = sinks._fs(self.spark, f"{directory}/data/contacts")
         found = [str(s.getPath()) for s in fs.listStatus(folder)] if fs.exists(folder) else []
         paths = sorted(p for p in found if p.rsplit("/", 1)[-1].startswith("part-") and p.endswith(".csv"))
         empty = lambda: self.spark.createDataFrame([], lists.OBSERVATION)
         return self.import_observations(source_id, observed_at, directory, sinks.content_digest(self.spark, paths), (lambda: lists.contacts(self.spark, directory)) if paths else empty)
 
-    def import_map(self, source_id: str, path: str, observed_at: str) -> dict:
+    def import_map(self, source_id: str, path: str, observed_at: str | None = None) -> dict:
+        observed_at = observed_at or self._file_date(path)
         from zonekeep.sources.osm import register
 
         register(self.spark)

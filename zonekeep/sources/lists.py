@@ -35,7 +35,7 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
                     with zipfile.ZipFile(BytesIO(content)) as archive:
                         files = [n for n in archive.namelist() if not n.endswith("/")]
                         if len(files) != 1:
-                            raise ValueError("ZIP imports must contain exactly one data file")
+                            raise ValueError("an archive of names holds one file and no other")
                         with archive.open(files[0]) as raw:
                             lines: list[tuple[str, str]] = []
                             for i, line in enumerate(TextIOWrapper(raw, "utf-8", errors="replace", newline="\n")):
@@ -93,7 +93,7 @@ def header_csv(lines: DataFrame, column: str, rank_column: str | None = None) ->
     header = [] if first is None else [str(x) for x in lines.sparkSession.createDataFrame([(first["line"],)], "line string").select(_cells(F.col("line"), first["line"].count(",") + 1).alias("c")).first()["c"]]
     missing = [c for c in (column, rank_column) if c is not None and c not in header]
     if column in missing:
-        raise ValueError(f"CSV column {column!r} not found; available: {header}")
+        raise ValueError(f"no column {column!r} in the header {header}")
     body = lines.filter((F.col("seq") != first["seq"]) & (F.col("line") != ""))
     cells = body.withColumn("c", _cells(F.col("line"), len(header)))
     at = lambda name: F.col("c")[f"c{header.index(name)}"]

@@ -57,6 +57,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A folder for files that are not tables, deleted like staged tables."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _STAGED[path] = spark
+    return path
+
+
 def discard(df: DataFrame | None) -> None:
     """Delete the files of a staged table that nothing reads any more."""
     path = getattr(df, "_staged_at", None)

@@ -34,7 +34,3 @@ def arrivals(events: DataFrame, time: str = "ts", key: str = "event_type", late:
     """Arrivals by tumbling window and key; works on a stream and on a table."""
     return events.withWatermark(time, late).groupBy(F.window(time, window), key).agg(F.count("*").alias("n"))
 
-
-def first_sightings(names: DataFrame, time: str = "ts", late: str = "1 hour") -> DataFrame:
-    """A name of a source once within the lateness bound."""
-    return names.withWatermark(time, late).dropDuplicatesWithinWatermark(["source_id", "hostname"])
