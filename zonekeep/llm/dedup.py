@@ -16,7 +16,9 @@ In each band bucket the members are compared with its smallest and its largest
 node, never all with all, and every pair is verified by the exact Jaccard
 similarity of the two shingle sets, held as 32-bit hashes of the shingles (of two
 sets of n and m shingles n m / 2^32 are expected to match by chance: 2e-5 at
-300, one in 200,000 of the shingles at 20,000).  Nodes that stay apart though they share a
+300, one in 200,000 of the shingles at 20,000).  A pair comes to that only if the
+sizes and the slot parities of its sets allow the similarity, a bound that no similar
+pair can break.  Nodes that stay apart though they share a
 bucket are dealt anew: leaders drawn from the bucket's still separate components
 are compared with its members for a few rounds.  What is apart then is settled
 exactly: over all nodes of the buckets that are still apart, a prefix join finds
@@ -154,6 +156,50 @@ def signed(docs: DataFrame, bands: int, rows: int, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_key"), "text").mapInArrow(run, "doc_id long, row_key long, node long, keys array<long>, shingles binary")
 
 
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """How often each slot is hit by ``tokens``, modulo two: at least two slots a token, in a power of two of whole bytes."""
+    slots = 1 << max(6, int(2 * len(tokens) - 1).bit_length())
+    hits = np.bincount(mix(tokens.astype(np.uint64)).astype(np.int64) & (slots - 1), minlength=slots)
+    return np.packbits((hits & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(p: bytes, q: bytes) -> int:
+    """A lower bound of the number of tokens that only one of two sets holds, from their parity bits."""
+    x, y = sorted((np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)), key=len)
+    # slots are numbered by the low bits, so the larger table folds onto the smaller
+    folded = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ folded).sum())
+
+
+def _outlined(sets: DataFrame) -> DataFrame:
+    """node, size and parity of each set."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            held = [np.frombuffer(s.as_buffer(), np.uint32) for s in part.column(1)]
+            columns = [part.column(0), pa.array([len(s) for s in held], pa.int32()), pa.array([parity_bits(s) for s in held], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "parity"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, size int, parity binary")
+
+
+def _possible(pairs: DataFrame, outlines: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) without those whose sizes or parities alone show that they differ too much: their sets need not be moved."""
+    side = lambda node, size, parity: outlines.select(F.col("node").alias(node), F.col("size").alias(size), F.col("parity").alias(parity))
+    both = pairs.join(side("a", "n", "p"), "a").join(side("b", "m", "q"), "b").filter(f"least(n, m) >= greatest(n, m) * {similarity!r}D - 1e-6")
+    share = (1 - similarity) / (1 + similarity)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            a, b, n, m, p, q = part.columns
+            most = share * (n.to_numpy().astype(np.int64) + m.to_numpy()) + 1e-6
+            least = np.array([least_difference(x, y) for x, y in zip(p.to_pylist(), q.to_pylist(), strict=True)], np.int64)
+            keep = pa.array(least <= most)
+            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
+
+    return both.select("a", "b", "n", "m", "p", "q").mapInArrow(run, "a long, b long")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough; each side's sets come by a join on its node."""
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a")
@@ -235,6 +281,7 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
     sets = full.select("node", "shingles").join(meeting.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
     sets = keep(sets, "dedup-sets")
     discard(full)
+    outlines = keep(_outlined(sets), "dedup-outlines")
 
     tried = None
     roots = keep(meeting.select("node", "degree", F.col("node").alias("root")), "dedup-roots")
@@ -263,7 +310,8 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = keep(pairs, "dedup-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = keep(_verify(pairs, sets, similarity), "dedup-links")
+        near = keep(_possible(pairs, outlines, similarity), "dedup-possible")
+        links = keep(_verify(near, sets, similarity), "dedup-links")
         old = _rescan(roots)
         edges = links.join(roots.drop("degree").withColumnRenamed("node", "a").withColumnRenamed("root", "x"), "a").join(old.drop("degree").withColumnRenamed("node", "b").withColumnRenamed("root", "y"), "b")
         edges = keep(edges.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "dedup-edges")
