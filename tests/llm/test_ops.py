@@ -754,3 +754,15 @@ def test_words_of_their_own_follow_the_corpus(spark):
         assert len(known.words) <= 4 * math.sqrt(known.n) and known.totals.min() >= lm.LEAST_COUNT
         sizes.append(len(known.words))
     assert sizes[1] > 2.5 * sizes[0]
+
+
+def test_parity_bound_is_below_the_difference():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 7, 64, 300, 5000):
+        s = rng.integers(0, 2**32, size).astype(np.uint32)
+        for cut, more in ((0, 0), (size // 20, size // 20), (size // 3, size), (size, 2)):
+            t = np.concatenate([s[cut:], rng.integers(0, 2**32, more).astype(np.uint32)])
+            differ, bound = len(np.setxor1d(s, t)), dedup.least_difference(dedup.parity_bits(s), dedup.parity_bits(t))
+            assert bound <= differ
+            if size == 5000 and differ:
+                assert bound > differ / 2

@@ -18,11 +18,12 @@ similarity of the two shingle sets, held as 32-bit hashes of the shingles (of tw
 sets of n and m shingles n m / 2^32 are expected to match by chance: 2e-5 at
 300, one in 200,000 of the shingles at 20,000).  A pair comes to that only if the
 sizes and the slot parities of its sets allow the similarity, a bound that no similar
-pair can break.  Nodes that stay apart though they share a
-bucket are dealt anew: leaders drawn from the bucket's still separate components
-are compared with its members for a few rounds.  What is apart then is settled
-exactly: over all nodes of the buckets that are still apart, a prefix join finds
-every pair of two components that can be similar enough, and each is verified.
+pair can break.  Buckets of up to three nodes are settled by that.  Nodes that stay
+apart though they share a larger bucket are dealt anew: leaders drawn from the
+bucket's still separate components are compared with its members for a few rounds.
+What is apart then is settled exactly: over all nodes of the larger buckets that are
+still apart, a prefix join finds every pair of two components that can be similar
+enough, and each is verified.
 Connected components of the links are the classes.
 
 Defined results: a null text is an empty text; all texts without words are one
@@ -49,6 +50,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 #: Rounds of leaders at most, before buckets that stay apart are settled by the prefix join.
 ROUNDS = 5
+#: Nodes of a bucket that its two leaders of the first round compare whole.
+WHOLE = 3
 _U = np.uint64
 _STRIP, _DART = _U(0x9FB21C651E98DF25), _U(0xD6E8FEB86659FD93)
 
@@ -286,7 +289,8 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
     tried = None
     roots = keep(meeting.select("node", "degree", F.col("node").alias("root")), "dedup-roots")
     for turn in range(ROUNDS + 1):
-        member = buckets.select("key", "node").join(roots, "node")
+        # a bucket of up to three nodes is compared whole by its two leaders
+        member = (buckets.filter(f"n > {WHOLE}") if turn else buckets).select("key", "node", "n").join(roots, "node")
         if turn:  # only buckets whose members are still apart
             apart = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
             member = keep(member.join(apart, "key", "left_semi"), "dedup-apart")
@@ -299,8 +303,9 @@ def classify(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS
         else:
             if turn:  # a member, and a component (few stragglers beside a large component are drawn as soon as it), by hash
                 draws = [F.xxhash64("node", F.lit(turn)), F.xxhash64("root", F.lit(turn))]
-            else:  # the member that meets most others, and any other
-                draws = [-F.col("degree"), F.xxhash64("node")]
+            else:  # the member that meets most others, and any other; two that differ where they settle the bucket
+                whole = F.col("n") <= WHOLE
+                draws = [F.when(whole, F.col("node")).otherwise(-F.col("degree")), F.when(whole, F.bitwise_not("node")).otherwise(F.xxhash64("node"))]
             leaders = member.groupBy("key").agg(*[F.min_by(c, r).alias(f"{c}{j}") for j, r in enumerate(draws) for c in ("node", "root")])
             heads = F.array_distinct(F.array(*[F.struct(F.col(f"node{j}").alias("b"), F.col(f"root{j}").alias("b_root")) for j in range(len(draws))]))
             # staged, so that a bucket of many members can be split in the join
