@@ -1,5 +1,7 @@
 import gzip
 import json
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +118,55 @@ def test_retry_passes(spark):
     assert asked[1] == ("pass2", ["a.ro,,retry-a"])
 
 
+def test_run_record(spark, tmp_path):
+    first = spark.createDataFrame([(0, "a.ro")], "line_no long, line string")
+    record = dns_run.RunRecord(spark, str(tmp_path))
+    seen = []
+
+    def probe(name, queue):
+        seen.append(record.state())
+        if name == "pass2" and len(seen) == 2:
+            raise ValueError("the prober died")
+        status = "SERVFAIL" if name == "pass1" else "NOERROR"
+        return lines(spark, [{"name": "a.ro", "results": {"A": {"status": status}}}])
+
+    assert record.state() is None
+    with pytest.raises(ValueError, match="died"):
+        dns_run.run_passes(spark, probe, first, str(tmp_path))
+    assert record.state() == "failed_pass2" and not (tmp_path / "finished_at.txt").exists()
+    done = dns_run.run_passes(spark, probe, first, str(tmp_path))
+    assert [n for n, _ in done] == ["pass1", "pass2"] and record.state() == "completed_no_failures"
+    assert seen == ["running_pass1", "running_pass2"] * 2
+    assert (tmp_path / "started_at.txt").read_text() <= (tmp_path / "finished_at.txt").read_text()
+
+
+def test_launch_and_interrupt(spark, tmp_path):
+    first = spark.createDataFrame([(0, "a.ro")], "line_no long, line string")
+    run = dns_run.launch(spark, lambda name, queue: lines(spark, [{"name": "a.ro", "results": {"A": {"status": "NOERROR"}}}]), first, str(tmp_path / "one"))
+    assert [n for n, _ in run.result.result(120)] == ["pass1"]
+    assert dns_run.RunRecord(spark, str(tmp_path / "one")).state() == "completed_no_failures"
+
+    begun = threading.Event()
+
+    def slow(name, queue):
+        begun.set()
+
+        def wait(batches):
+            for batch in batches:
+                time.sleep(60)
+                yield batch
+
+        return spark.range(1, numPartitions=1).select(F.col("id").alias("line_no"), F.lit("{}").alias("value")).mapInPandas(wait, "line_no long, value string")
+
+    run = dns_run.launch(spark, slow, first, str(tmp_path / "two"))
+    assert begun.wait(60)
+    time.sleep(2)
+    run.interrupt()
+    with pytest.raises(Exception, match="(?i)cancel"):
+        run.result.result(120)
+    assert dns_run.RunRecord(spark, str(tmp_path / "two")).state() == "interrupted"
+
+
 def test_completeness_and_pacing(spark):
     rows = spark.createDataFrame([("a", "A"), ("b", "MX")], "domain string, query_type string")
     got = {(r["domain"], r["query_type"]): r["present"] for r in dns.completeness(rows, ["A", "MX"]).collect()}

@@ -1,12 +1,16 @@
 import gzip
+import hashlib
+import io
 import json
+import time
 import zipfile
 
 import pytest
 
 from zonekeep.cli import parser, run
+from zonekeep.operators import progress
 from zonekeep.plans.registry import Registry
-from zonekeep.sources import lists
+from zonekeep.sources import inputs, lists
 
 CATALOG = [
     {"source_id": s, "name": s, "category": "c", "url": "u", "access_method": "m", "coverage": "c", "license": None, "redistribution_status": status, "public_export": public, "import_status": "catalogued", "notes": None, "last_checked_at": "2026-01-01"}
@@ -133,3 +137,54 @@ def test_stream(registry, tmp_path):
             (tmp_path / "in/b.txt").write_text(extra)
         ingest(registry, str(tmp_path / "in"), "open", "2026-01-01", str(tmp_path / "cp")).awaitTermination(120)
     assert sorted(r["domain"] for r in registry.tables()["domains"].collect()) == ["a.ro", "b.ro", "c.ro"]
+
+
+def test_inputs(spark, tmp_path):
+    data = bytes(range(256)) * 20_000
+    (tmp_path / "source.bin").write_bytes(data)
+    want = inputs.Input("a.bin", (tmp_path / "source.bin").as_uri(), hashlib.sha256(data).hexdigest())
+    folder, offsets = str(tmp_path / "raw"), []
+
+    class Broken(io.BytesIO):
+        def read(self, n=-1):
+            chunk = super().read(n)
+            if offsets[-1] < 2 << 20 and self.tell() > 1 << 20:
+                raise OSError("the connection broke")
+            return chunk
+
+    def flaky(url, offset):
+        offsets.append(offset)
+        return Broken(data[offset:])
+
+    assert inputs.missing(spark, [want], folder) == {"a.bin": "absent"}
+    facts = inputs.fetch(spark, [want], folder, flaky, wait=0)
+    assert offsets == [0, 1 << 20, 2 << 20] and facts["a.bin"]["bytes"] == len(data)
+    assert (tmp_path / "raw/a.bin").read_bytes() == data and inputs.missing(spark, [want], folder) == {}
+    assert inputs.fetch(spark, [want], folder, lambda url, offset: 1 / 0) == facts  # nothing to fetch
+    (tmp_path / "raw/a.bin").write_bytes(b"else")
+    (tmp_path / "raw/.a.bin.crc").unlink(missing_ok=True)
+    assert inputs.missing(spark, [want], folder) == {"a.bin": "changed"}
+    assert inputs.fetch(spark, [want], folder)["a.bin"]["sha256"] == want.sha256  # through file://
+    with pytest.raises(ValueError, match="expected"):
+        inputs.fetch(spark, [want._replace(name="b.bin", sha256="0" * 64)], folder)
+    with pytest.raises(OSError):
+        inputs.fetch(spark, [inputs.Input("c.bin", (tmp_path / "none").as_uri())], folder, wait=0)
+    assert not (tmp_path / "raw/b.bin").exists() and not (tmp_path / "raw/c.bin").exists()
+
+
+def test_progress(spark, tmp_path):
+    rows, seen = progress.counted(spark.range(1000), "r")
+    rows.write.parquet(str(tmp_path / "rows"))
+    assert progress.report(seen, "rows") == 1000
+    listener = progress.StreamProgress()
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema("id long").parquet(str(tmp_path / "rows")).writeStream.format("noop").trigger(availableNow=True).start()
+        stream.awaitTermination(120)
+        for _ in range(100):
+            if listener.rows.get(str(stream.runId)):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.rows[str(stream.runId)] == 1000

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonekeep.operators import dns, registry, sinks
+from zonekeep.functions.scalars import utc_now
+from zonekeep.operators import dns, progress, registry, sinks
 from zonekeep.sources.catalog import read_settings
 from zonekeep.store import stage
 
@@ -18,20 +23,97 @@ RETRIES: tuple[tuple[str, tuple[str, ...] | None], ...] = (("pass2", None), ("pa
 _NOTE = "Later passes replace earlier results for the same domain and query type."
 
 
-def run_passes(spark: SparkSession, probe: Callable[[str, DataFrame], DataFrame], first: DataFrame) -> list[tuple[str, DataFrame]]:
+@dataclass
+class RunRecord:
+    """state.txt, started_at.txt and finished_at.txt of a run's folder.
+
+    States: running_PASS, failed_PASS, interrupted, completed_no_failures (nothing was left to retry) and completed.
+    """
+
+    spark: SparkSession
+    run_dir: str
+
+    def _write(self, name: str, text: str) -> None:
+        sinks.write_text_file(self.spark, f"{self.run_dir}/{name}", text + "\n")
+
+    def _now(self) -> str:
+        return self.spark.range(1).select(utc_now()).first()[0]
+
+    def state(self) -> str | None:
+        """The state last written, None before a run."""
+        text = sinks.read_text_file(self.spark, f"{self.run_dir}/state.txt")
+        return text.strip() if text else None
+
+    def started(self) -> None:
+        self._write("started_at.txt", self._now())
+
+    def enter(self, state: str) -> None:
+        self._write("state.txt", state)
+
+    def finished(self, state: str) -> None:
+        self._write("finished_at.txt", self._now())
+        self.enter(state)
+
+
+def run_passes(spark: SparkSession, probe: Callable[[str, DataFrame], DataFrame], first: DataFrame, run_dir: str | None = None, stopped: Callable[[], bool] = lambda: False) -> list[tuple[str, DataFrame]]:
     """Drive the passes: ``probe(name, queue)`` returns result lines (line_no, value); it stops when nothing is left to retry.
 
-    Only the interface to a prober is here; queries are sent by whoever gives ``probe``.
+    Only the interface to a prober is here; queries are sent by whoever gives ``probe``.  With ``run_dir`` the state of
+    the run is kept there.  A run that ends while ``stopped()``, or by an interrupt, is recorded as interrupted.
     """
-    done = [("pass1", stage(probe("pass1", first), "dns-pass"))]
-    for name, statuses in RETRIES:
-        queue = dns.retry_queue(dns.parse_lines(done[-1][1], strict=False), statuses)
-        if queue.isEmpty():
-            break
-        done.append((name, stage(probe(name, queue), "dns-pass")))
+    record = RunRecord(spark, run_dir) if run_dir else None
+    done: list[tuple[str, DataFrame]] = []
+    if record:
+        record.started()
+    name = "pass1"
+    try:
+        queue, left = first, True
+        for name, statuses in (("pass1", None), *RETRIES):
+            if done:
+                queue = dns.retry_queue(dns.parse_lines(done[-1][1], strict=False), statuses)
+                left = not queue.isEmpty()
+            if not left:
+                break
+            if record:
+                record.enter(f"running_{name}")
+            done.append((name, stage(probe(name, queue), "dns-pass")))
+    except BaseException as e:
+        if record:
+            record.enter("interrupted" if stopped() or isinstance(e, KeyboardInterrupt) else f"failed_{name}")
+        raise
+    if record:
+        record.finished("completed" if left else "completed_no_failures")
     return done
 
 
+@dataclass
+class Launched:
+    """A run in the background: ``result`` gives its passes, ``interrupt`` ends it."""
+
+    spark: SparkSession
+    group: str
+    result: Future = field(default_factory=Future)
+    stopping: bool = False
+
+    def interrupt(self) -> None:
+        self.stopping = True
+        self.spark.sparkContext.cancelJobGroup(self.group)
+
+
+def launch(spark: SparkSession, probe: Callable[[str, DataFrame], DataFrame], first: DataFrame, run_dir: str) -> Launched:
+    """``run_passes`` in a thread of its own, its jobs in one group; the folder tells how far it is."""
+    run = Launched(spark, f"dns-run-{uuid.uuid4().hex}")
+
+    def work() -> list[tuple[str, DataFrame]]:
+        spark.sparkContext.setJobGroup(run.group, run_dir, interruptOnCancel=True)
+        return run_passes(spark, probe, first, run_dir, lambda: run.stopping)
+
+    pool = ThreadPoolExecutor(1)
+    run.result = pool.submit(inheritable_thread_target(spark)(work))
+    pool.shutdown(wait=False)
+    return run
+
+
 def consolidate_run(spark: SparkSession, run_dir: str, out: str, passes: tuple[tuple[str, str], ...] = PASSES, export_dir: str | None = None) -> dict:
     """Write query_results, dns_records and snapshots of a run as parquet under ``out``, and a summary beside them.
 
@@ -50,8 +132,11 @@ def consolidate_run(spark: SparkSession, run_dir: str, out: str, passes: tuple[t
     every = dns.passes_of(parsed)
     won = stage(dns.consolidate(dns.lookups(every)).withColumn("result", F.to_json("result")).drop("records"), "dns-won").withColumn("result", F.parse_json("result"))
     won = won.withColumn("records", dns._records_of("result"))
-    dns.query_results(won).write.mode("overwrite").parquet(f"{out}/query_results")
-    dns.dns_records(won).write.mode("overwrite").parquet(f"{out}/dns_records")
+    written = {}
+    for name, rows in (("query_results", dns.query_results(won)), ("dns_records", dns.dns_records(won))):
+        rows, seen = progress.counted(rows, name)
+        rows.write.mode("overwrite").parquet(f"{out}/{name}")
+        written[name] = progress.report(seen, name)
     results, records = spark.read.parquet(f"{out}/query_results"), spark.read.parquet(f"{out}/dns_records")
     settings = read_settings(spark, f"{run_dir}/config.txt")
     text = lambda p: (sinks.read_text_file(spark, p) or "").strip() or None
@@ -65,8 +150,8 @@ def consolidate_run(spark: SparkSession, run_dir: str, out: str, passes: tuple[t
     summary = {
         "query_header": dns.QUERY_COLUMNS,
         "record_header": dns.RECORD_COLUMNS,
-        "query_results": results.count(),
-        "dns_records": records.count(),
+        "query_results": written["query_results"],
+        "dns_records": written["dns_records"],
         "domains": results.select("domain").distinct().count(),
         "statuses": counts(results, "status"),
         "error_classes": counts(results, "error_class"),
