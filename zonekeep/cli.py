@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from zonekeep.operators import dns, sinks
 from zonekeep.plans import dns_run
 from zonekeep.plans.registry import Registry
+from zonekeep.sources import inputs
 
 
 def parser() -> argparse.ArgumentParser:
@@ -30,6 +31,9 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--source", required=True)
         one.add_argument("--path", required=True)
         one.add_argument("--observed-at")
+    one = sub.add_parser("fetch")
+    one.add_argument("--inputs", required=True, help="JSON list of {name, url, sha256}")
+    one.add_argument("--output", required=True)
     one = sub.add_parser("export")
     one.add_argument("--output", required=True)
     one.add_argument("--public-only", action="store_true")
@@ -69,6 +73,9 @@ def run(args: argparse.Namespace, spark: SparkSession | None = None) -> dict | N
         summary = {"input": args.input, **dns.retry_summary(parsed, statuses)}
         sinks.write_manifest(spark, args.summary, summary)
         return summary
+    if args.command == "fetch":
+        wanted = json.loads(sinks.read_text_file(spark, args.inputs) or "[]")
+        return inputs.fetch(spark, [inputs.Input(**w) for w in wanted], args.output)
     if registry is None:
         raise SystemExit("--root is needed")
     if args.command == "init":

@@ -7,17 +7,19 @@ and a measured run are made once for each session and folder of tables.
 from __future__ import annotations
 
 import contextlib
+import io
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonekeep.functions.scalars import utc_now
-from zonekeep.operators import dns, quality, registry, sinks
+from zonekeep.operators import dns, progress, quality, registry, sinks
 from zonekeep.plans import dns_run
 from zonekeep.plans.queries import _D_CLASS, _D_ERROR, _D_STATUS, _D_TYPE, _ERROR, _LAST3, _LINES, _STATUS, _TYPE, _URL_HOST, PAGE_RULES, _query, _result_lines, _t
 from zonekeep.plans.registry import Registry
-from zonekeep.sources import catalog, lists
+from zonekeep.sources import catalog, inputs, lists
 from zonekeep.store import scratch
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -350,18 +352,77 @@ def retry_summary(spark, d):
 @_query(f"WITH {_LINES} SELECT name, count(DISTINCT user_id) AS n FROM (SELECT user_id, unnest(['pass1', 'pass2']) AS name, unnest([true, upper(st) NOT IN ('NOERROR', 'NXDOMAIN') AND query_type <> 'OTHER']) AS asked FROM lines WHERE pass = 1) WHERE asked GROUP BY name")
 def probe_passes(spark, d):
     """A prober is asked for the first pass and then for what is to be tried again, until nothing is left."""
-    lines = _result_lines(spark, d).filter("pass = 1").select("line_no", "value")
     asked: list[tuple[str, int]] = []
+    first, probe = _prober(spark, d, lambda name, queue: asked.append((name, queue.count())))
+    dns_run.run_passes(spark, probe, first)
+    return _rows(spark, asked, "name string, n long")
+
+
+def _prober(spark: SparkSession, d: str, see) -> tuple[DataFrame, Callable[[str, DataFrame], DataFrame]]:
+    """The first queue, and a prober that settles in the second pass what the events left open; ``see`` is told of every pass."""
+    lines = _result_lines(spark, d).filter("pass = 1").select("line_no", "value")
 
     def probe(name: str, queue: DataFrame) -> DataFrame:
-        asked.append((name, queue.count()))
+        see(name, queue)
         if name == "pass1":
             return lines
         final = F.concat(F.lit('{"name":"'), F.split("line", ",")[0], F.lit('","results":{"A":{"status":"NOERROR"}}}'))
         return queue.select("line_no", final.alias("value"))
 
-    dns_run.run_passes(spark, probe, lines.select("line_no", F.lit("").alias("line")))
-    return _rows(spark, asked, "name string, n long")
+    return lines.select("line_no", F.lit("").alias("line")), probe
+
+
+@_query(
+    f"""WITH {_LINES}, steps AS (SELECT true AS there, 'pass1' AS pass, 'running_pass1' AS state
+    UNION ALL SELECT count(*) > 0, 'pass2', 'running_pass2' FROM lines WHERE pass = 1 AND upper(st) NOT IN ('NOERROR', 'NXDOMAIN') AND query_type <> 'OTHER'
+    UNION ALL SELECT true, 'end', 'completed_no_failures') SELECT pass, state FROM steps WHERE there"""
+)
+def dns_run_states(spark, d):
+    """The state that a run in the background leaves in its folder while each pass is probed, and at its end."""
+    record = dns_run.RunRecord(spark, scratch(spark, "dns-state"))
+    seen: list[tuple[str, str | None]] = []
+    first, probe = _prober(spark, d, lambda name, queue: seen.append((name, record.state())))
+    dns_run.launch(spark, probe, first, record.run_dir).result.result()
+    return _rows(spark, [*seen, ("end", record.state())], "pass string, state string")
+
+
+@_query("SELECT 'names.txt' AS name, sum(strlen(n_name) + 1)::BIGINT AS bytes, sha256(string_agg(n_name || chr(10), '' ORDER BY n_name)) AS sha256, 2::BIGINT AS requests FROM nation")
+def fetch_inputs(spark, d):
+    """A list that is fetched over a connection that breaks once, half way; its facts as the manifest of inputs states them."""
+    data = "".join(r["n_name"] + "\n" for r in _t(spark, d, "nation").orderBy("n_name").collect()).encode()
+    folder, asked = scratch(spark, "inputs"), []
+
+    def opener(url: str, offset: int):
+        asked.append(offset)
+        return _Breaking(data[offset:], len(data) // 2) if offset == 0 else io.BytesIO(data[offset:])
+
+    inputs.fetch(spark, [inputs.Input("names.txt", "list:names")], folder, opener, wait=0)
+    facts = json.loads(sinks.read_text_file(spark, f"{folder}/inputs.json"))
+    return _rows(spark, [(k, v["bytes"], v["sha256"], len(asked)) for k, v in facts.items()], "name string, bytes long, sha256 string, requests long")
+
+
+class _Breaking(io.BytesIO):
+    """Bytes whose reading fails after ``most``."""
+
+    def __init__(self, data: bytes, most: int):
+        super().__init__(data)
+        self.most = most
+
+    def read(self, size: int = -1) -> bytes:
+        if self.tell() >= self.most:
+            raise OSError("broken")
+        return super().read(self.most - self.tell())
+
+
+@_query("SELECT 'events' AS what, count(*) AS n FROM events UNION ALL SELECT 'documents', count(*) FROM documents")
+def progress_counts(spark, d):
+    """Rows counted by the write itself."""
+    out = []
+    for name in ("events", "documents"):
+        rows, seen = progress.counted(_t(spark, d, name), name)
+        rows.write.format("noop").mode("overwrite").save()
+        out.append((name, progress.report(seen, name)))
+    return _rows(spark, out, "what string, n long")
 
 
 @_query("SELECT 25::BIGINT AS stamp_length, true AS in_utc")
