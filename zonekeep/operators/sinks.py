@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonekeep.operators import progress
+
 
 def _fs(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -38,33 +40,36 @@ def read_text_file(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _single_file(rows: DataFrame, write, path: str) -> None:
-    """``write`` makes a folder with one part file; it becomes the file ``path``."""
+def _single_file(rows: DataFrame, write, path: str) -> int:
+    """``write`` makes a folder with one part file; it becomes the file ``path``.  Returns the rows, counted as they are written."""
     spark = rows.sparkSession
     folder = f"{path}.{uuid.uuid4().hex}.dir"
-    write(rows.coalesce(1)).save(folder)
+    # counted above the sort, whose sampling of ranges reads the rows below it once more
+    counted, seen = progress.counted(rows.coalesce(1), folder)
+    write(counted).save(folder)
     fs, target = _fs(spark, path)
     parts = [s.getPath() for s in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(folder)) if s.getPath().getName().startswith("part-")]
     if fs.exists(target):
         fs.delete(target, False)
     fs.rename(parts[0], target)
     fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+    return progress.report(seen, path)
 
 
-def export_csv(rows: DataFrame, path: str, order: list[str], columns: list[str] | None = None) -> None:
-    """One CSV of ``columns`` (all, if not given) with a header, sorted; compressed when the name ends in .gz; nulls are empty fields."""
+def export_csv(rows: DataFrame, path: str, order: list[str], columns: list[str] | None = None) -> int:
+    """One CSV of ``columns`` (all, if not given) with a header, sorted; compressed when the name ends in .gz; nulls are empty fields.  Returns the rows."""
     packed = "gzip" if path.endswith(".gz") else "none"
-    _single_file(
+    return _single_file(
         rows.orderBy(*order).select(*(columns or rows.columns)),
         lambda df: df.write.format("csv").options(header=True, compression=packed, quote='"', escape='"', nullValue="", emptyValue="", lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False),
         path,
     )
 
 
-def export_lines(lines: DataFrame, path: str, order: list[str]) -> None:
-    """One text file of the column ``line``, sorted."""
+def export_lines(lines: DataFrame, path: str, order: list[str]) -> int:
+    """One text file of the column ``line``, sorted.  Returns the lines."""
     packed = "gzip" if path.endswith(".gz") else "none"
-    _single_file(lines.orderBy(*order).select("line"), lambda df: df.write.format("text").options(compression=packed, lineSep="\n"), path)
+    return _single_file(lines.orderBy(*order).select("line"), lambda df: df.write.format("text").options(compression=packed, lineSep="\n"), path)
 
 
 def content_digest(spark: SparkSession, paths: list[str]) -> str:

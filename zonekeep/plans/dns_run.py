@@ -179,8 +179,7 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], dns_dir: str, out
         ("dns_records_public", spark.read.parquet(f"{dns_dir}/dns_records"), dns.RECORD_COLUMNS, ["domain", "query_type", "position"]),
     )
     for name, rows, columns, order in jobs:
-        chosen = registry.only_public(rows, public)
-        sinks.export_csv(chosen, f"{out}/{name}.csv.gz", order, columns)
-        facts[f"{name}.csv.gz"] = {"rows": chosen.count(), **sinks.file_facts(spark, f"{out}/{name}.csv.gz")}
+        written = sinks.export_csv(registry.only_public(rows, public), f"{out}/{name}.csv.gz", order, columns)
+        facts[f"{name}.csv.gz"] = {"rows": written, **sinks.file_facts(spark, f"{out}/{name}.csv.gz")}
     sinks.write_manifest(spark, f"{out}/manifest.json", facts)
     return facts
