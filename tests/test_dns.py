@@ -78,6 +78,32 @@ def test_bad_lines(spark):
         dns.parse_lines(rows).collect()
 
 
+def test_lines_are_json_as_a_whole(spark):
+    good = ["1", ' "a" ', "null", "[1, 2]", '{"name":"a","results":{}}', "-1.5e3\t"]
+    bad = [
+        "4702 words", '"a" x', "1, 2", "1], [2", '"a"], ["b"', '"a"}, {"b"', '"a"] x', '"a"} x', '1,"b":2', '"a":1', '"a", "b"', "[1]]", "{}}", '{"name":"a","results":{}} {"name":"b"}', '{"name":"a","results":{}},', "", " ", "'a'", "nul",
+    ]
+    got = dns.parse_lines(lines(spark, good + bad), strict=False).orderBy("line_no").collect()
+    assert [r["invalid"] for r in got] == [False] * len(good) + [True] * len(bad)
+    with pytest.raises(Exception, match="Invalid JSON at line 1"):
+        dns.parse_lines(lines(spark, ['{"name":"a","results":{}} {"name":"b"}'])).collect()
+
+
+def test_invalid_count_of_odd_texts(spark, tmp_path):
+    import duckdb
+
+    from zonekeep.plans.queries import ORACLES, QUERIES
+
+    tables = {"documents": ("text", ["8294846167456848 Inly", '"a"], ["b"', None, "", "12"]), "events": ("props", ['{"k": 1}', '{"k": 1} {"k": 2}', None])}
+    for name, (column, values) in tables.items():
+        spark.createDataFrame([(v,) for v in values], f"{column} string").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    with duckdb.connect() as c:
+        for name in tables:
+            c.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+        want = c.execute(ORACLES["json_invalid_count"]).fetchall()
+    assert [tuple(r) for r in QUERIES["json_invalid_count"](spark, str(tmp_path)).collect()] == want == [(8, 4)]
+
+
 def test_run_and_publish(spark, tmp_path):
     run = tmp_path / "run1"
     for i, folder in enumerate(("pass1", "pass2"), 1):
