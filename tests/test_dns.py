@@ -1,13 +1,15 @@
+import csv
 import gzip
 import json
 import threading
 import time
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from zonekeep.functions import scalars
-from zonekeep.operators import dns
+from zonekeep.operators import dns, sinks
 from zonekeep.plans import dns_run
 
 
@@ -131,6 +133,35 @@ def test_run_and_publish(spark, tmp_path):
     assert json.loads((tmp_path / "public/manifest.json").read_text()) == facts
 
 
+def test_export_is_packed_by_all_tasks(spark, tmp_path):
+    """One sorted file with one header, strung together from the parts of several tasks."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(0, 2000, 1, 8).select(F.col("id").alias("k"), F.concat(F.lit('a "b", '), F.col("id") % 7).alias("v"))
+        written = [sinks.export_csv(rows, f"{tmp_path}/t.csv.gz", ["k"]), sinks.export_csv(rows, f"{tmp_path}/t.csv", ["k"]), sinks.export_lines(rows.select("k", F.col("v").alias("line")), f"{tmp_path}/t.txt.gz", ["k"])]
+        empty = sinks.export_csv(rows.filter("k < 0"), f"{tmp_path}/none.csv.gz", ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    want = [["k", "v"], *[[str(i), f'a "b", {i % 7}'] for i in range(2000)]]
+    with gzip.open(tmp_path / "t.csv.gz", "rt") as f:
+        assert list(csv.reader(f)) == want
+    with open(tmp_path / "t.csv") as f:
+        assert list(csv.reader(f)) == want
+    with gzip.open(tmp_path / "t.txt.gz", "rt") as f:
+        assert f.read().splitlines() == [r[1] for r in want[1:]]
+    with gzip.open(tmp_path / "none.csv.gz", "rt") as f:
+        assert f.read() == "k,v\n"
+    assert (written, empty) == ([2000] * 3, 0)
+    assert [r["k"] for r in spark.read.csv(f"{tmp_path}/t.csv.gz", header=True, escape='"').collect()] == [r[0] for r in want[1:]]
+    packed, members = (tmp_path / "t.csv.gz").read_bytes(), 0
+    while packed:
+        one = zlib.decompressobj(31)
+        one.decompress(packed)
+        packed, members = one.unused_data, members + 1
+    assert members > 4 and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["none.csv.gz", "t.csv", "t.csv.gz", "t.txt.gz"]
+
+
 def test_retry_passes(spark):
     asked = []
 
