@@ -1,5 +1,6 @@
 import csv
 import gzip
+import hashlib
 import json
 import threading
 import time
@@ -133,6 +134,12 @@ def test_run_and_publish(spark, tmp_path):
     assert json.loads((tmp_path / "public/manifest.json").read_text()) == facts
 
 
+def gz(path, records):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with gzip.open(path, "wt") as f:
+        f.writelines(json.dumps(r) + "\n" for r in records)
+
+
 def test_export_is_packed_by_all_tasks(spark, tmp_path):
     """One sorted file with one header, strung together from the parts of several tasks."""
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
@@ -162,6 +169,14 @@ def test_export_is_packed_by_all_tasks(spark, tmp_path):
     assert members > 4 and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["none.csv.gz", "t.csv", "t.csv.gz", "t.txt.gz"]
 
 
+def test_packed_lines_are_parsed_by_many_tasks(spark, tmp_path):
+    gz(tmp_path / "r.jsonl.gz", ({"name": f"{i}.ro", "results": {"A": {"id": hashlib.sha256(str(i).encode()).hexdigest()}}} for i in range(10000)))
+    size = (tmp_path / "r.jsonl.gz").stat().st_size
+    rows = dns.read_lines(spark, f"{tmp_path}/r.jsonl.gz")
+    assert rows.rdd.getNumPartitions() == -(-size // (1 << 17)) > 2
+    assert [json.loads(r["value"])["name"][:-3] for r in rows.orderBy("line_no").collect()] == [str(i) for i in range(10000)]
+
+
 def test_retry_passes(spark):
     asked = []
 
