@@ -177,6 +177,29 @@ def test_packed_lines_are_parsed_by_many_tasks(spark, tmp_path):
     assert [json.loads(r["value"])["name"][:-3] for r in rows.orderBy("line_no").collect()] == [str(i) for i in range(10000)]
 
 
+def test_passes_are_read_once(spark, tmp_path, monkeypatch):
+    """The files of a run are gone when their lookups are staged; a line without lookups counts as a line."""
+    rr = [{"type": "A", "answer": "1"}, {"type": "EDNS0"}]
+    gz(tmp_path / "run/pass1/results.jsonl.gz", [{"name": "a.ro", "results": {"A": result("SERVFAIL", rr), "MX": result()}}, {"name": "b.ro", "results": {}}, {"name": "c.ro"}])
+    gz(tmp_path / "run/pass2/results.jsonl.gz", [{"name": "a.ro", "results": {"A": result(answers=rr)}}])
+    (tmp_path / "run/config.txt").write_text("domains=3\ntype_count=2\nbase_logical_queries=6\n")
+    real = dns_run.stage
+
+    def once(df, label):
+        out = real(df, label)
+        for p in (tmp_path / "run").glob("*/results.jsonl.gz"):
+            p.unlink()
+        return out
+
+    monkeypatch.setattr(dns_run, "stage", once)
+    summary = dns_run.consolidate_run(spark, str(tmp_path / "run"), str(tmp_path / "out"))
+    assert sorted(summary["passes"], key=lambda p: p["source_pass"]) == [
+        {"source_pass": "pass1", "domains": 3, "queries": 2, "records": 1, "statuses": {"NOERROR": 1, "SERVFAIL": 1}},
+        {"source_pass": "pass2", "domains": 1, "queries": 1, "records": 1, "statuses": {"NOERROR": 1}},
+    ]
+    assert (summary["query_results"], summary["dns_records"]) == (2, 1)
+
+
 def test_retry_passes(spark):
     asked = []
 
